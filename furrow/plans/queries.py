@@ -1,4 +1,7 @@
 """The registered queries of the core operators and their SQL."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from furrow.plans import crop_queries
+
+_MODULES = (crop_queries,)
+QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
+SQL = {k: s for m in _MODULES for k, s in m.SQL.items()}
