@@ -235,7 +235,8 @@ def close_pairs(code: np.ndarray, x: np.ndarray, y: np.ndarray, radius: float):
     """
     if not len(x):
         return
-    ix, iy = np.floor((x - x.min()) / radius).astype(np.int64), np.floor((y - y.min()) / radius).astype(np.int64) + 1
+    side = radius * (1 + 1e-6)
+    ix, iy = np.floor((x - x.min()) / side).astype(np.int64), np.floor((y - y.min()) / side).astype(np.int64) + 1
     ny = iy.max() + 2
     nx = ix.max() + 2
     key = (code.astype(np.int64) * nx + ix) * ny + iy
