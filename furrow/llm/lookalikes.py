@@ -8,6 +8,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from furrow.session import stage
 
@@ -62,7 +63,9 @@ def plain_form(text: Column) -> Column:
     one, many, _ = tables()
     out = _translate(text, one)
     pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in many.items()])
-    rare = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in many) + "]"
+    blocks = sorted({ord(c) >> 8 for c in many})  # a few ranges match much faster than many single characters
+    ranges = [(min(m), max(m)) for m in ([ord(c) for c in many if ord(c) >> 8 == b] for b in blocks)]
+    rare = "[" + "".join(f"\\x{{{lo:X}}}-\\x{{{hi:X}}}" for lo, hi in ranges) + "]"
     return F.when(out.rlike(rare), F.reduce(pairs, out, lambda acc, p: F.replace(acc, p.getField("a"), p.getField("b")))).otherwise(out)
 
 
@@ -71,7 +74,7 @@ def coarse_form(text: Column) -> Column:
     return _translate(text, tables()[2])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def composed(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
