@@ -26,13 +26,13 @@ def value_histogram(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame
 def level_statistics(hist: DataFrame, level: Level, kind: str) -> DataFrame:
     """(keys, value, support): exact median, or the most frequent value (the smallest of equals), of each group.
 
-    What a task sees of a group is its distinct values, which the caller bounds by rounding. Rows with a
-    null key belong to no group.
+    What a task sees of a group is its distinct values, which the caller bounds by rounding; they are sent
+    once, by the level's keys, which both the counts and the medians use. Rows with a null key belong to no group.
     """
     keys = list(level.keys)
     for k in keys:
         hist = hist.where(F.col(k).isNotNull())
-    h = hist.groupBy(*keys, "v").agg(F.sum("c").alias("c"))
+    h = hist.select(*keys, "v", "c").repartition(*keys).groupBy(*keys, "v").agg(F.sum("c").alias("c"))
     if kind == "mode":
         best = F.min(F.struct((-F.col("c")).alias("c"), F.col("v")))
         return h.groupBy(*keys).agg(best.getField("v").alias("value"), F.sum("c").alias("support")).where(F.col("support") >= level.support)

@@ -16,7 +16,7 @@ DISAGREE = 0.10
 
 #: Decimals that readings are rounded to for the medians; osavi has 4, health_score 1.
 DIGITS = 4
-READING_LEVELS = (Level("sector and stage", ("field_name", "sector", "stage"), 5), Level("sector and flight", ("field_name", "sector", "day"), 5), Level("sector", ("field_name", "sector")))
+READING_LEVELS = (Level("sector and stage", ("field", "sector", "stage"), 5), Level("sector and flight", ("field", "sector", "day"), 5), Level("sector", ("field", "sector")))
 SECTOR_LEVELS = (Level("label and flight", ("label", "day"), 3), Level("label", ("label",)))
 
 
@@ -24,10 +24,10 @@ def _cells(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Counting rows, and the filled cells: plant_id, field_name, value, level, support."""
     rows = counting_rows(table(spark, d, "pineapple_crops"), "sector_id", "sector_label", "predicted_growth_stage", "flight_date", "osavi", "health_score")
     rows = stage(rows.withColumns({"sector": F.when(usable("sector_id"), F.col("sector_id")), "stage": stage_name(), "day": F.to_date("flight_date"), "label": label_key()}), "cells")
-    fields = ("osavi", "health_score")
-    cell = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.when(usable(f), F.round(f, DIGITS)).alias("value")) for f in fields])).alias("c")
+    fields = ("osavi", "health_score")  # a number in the shuffles, the name in the result
+    cell = F.explode(F.array(*[F.struct(F.lit(i).cast("byte").alias("field"), F.when(usable(f), F.round(f, DIGITS)).alias("value")) for i, f in enumerate(fields)])).alias("c")
     cells = rows.where("sector IS NOT NULL").select("plant_id", "sector", "stage", "day", cell).select("plant_id", "sector", "stage", "day", "c.*")
-    read = fill_values(cells.where("value IS NULL").drop("value"), cells, "value", READING_LEVELS)
+    read = fill_values(cells.where("value IS NULL").drop("value"), cells, "value", READING_LEVELS).withColumn("field_name", F.when(F.col("field") == 0, fields[0]).otherwise(fields[1]))
     lost = rows.where(F.col("label").isNotNull() & (F.col("sector_id").isNull() | (F.col("sector_id") < -1))).select("plant_id", F.lit("sector_id").alias("field_name"), "label", "day")
     placed = fill_values(lost, rows.where("sector IS NOT NULL").select("label", "day", "sector"), "sector", SECTOR_LEVELS, "mode")
     columns = ("plant_id", "field_name", F.col("value").cast("double").alias("value"), "level", "support")
