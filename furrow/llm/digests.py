@@ -91,17 +91,28 @@ def quantiles(merged: DataFrame, keys: list[str], probs: list[float]) -> DataFra
     """
 
     def f(it):
-        pdf = pd.concat(list(it), ignore_index=True) if (it := list(it)) else None
-        if pdf is None or pdf.empty:
+        parts = list(it)
+        if not any(len(p) for p in parts):
             return
-        pdf = pdf.sort_values("mean", kind="stable")
-        out = []
-        for _, g in pdf.groupby(keys, dropna=False, sort=False):
-            w = g["weight"].to_numpy()
-            n = w.sum()
-            at = np.interp(np.array(probs) * (n - 1) + 0.5, np.cumsum(w) - w / 2, g["mean"].to_numpy())
-            out.append(g[keys].iloc[[0] * len(probs)].assign(n=int(n), q=probs, estimate=at))
-        yield pd.concat(out, ignore_index=True)
+        pdf = pd.concat(parts, ignore_index=True)
+        code = pdf.groupby(keys, dropna=False, sort=False).ngroup().to_numpy()
+        order = np.lexsort((pdf["mean"].to_numpy(), code))
+        code, mean, weight = code[order], pdf["mean"].to_numpy()[order], pdf["weight"].to_numpy()[order]
+        start = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+        size = np.diff(np.r_[start, len(code)])
+        run = np.cumsum(weight)
+        at = run - weight / 2 - np.repeat(run[start] - weight[start], size)  # mid-ranks, from 0 in each group
+        n = np.add.reduceat(weight, start)
+        apart = n.max() + 2  # one group's ranks after the other's on a single line
+        line = code * apart + at
+        first = pdf[keys].iloc[order[start]]
+        for q in probs:
+            want = q * (n - 1) + 0.5
+            hi = np.clip(np.searchsorted(line, np.arange(len(n)) * apart + want, "right"), start, start + size - 1)
+            lo = np.clip(hi - 1, start, None)
+            gap = at[hi] - at[lo]
+            share = np.clip(np.divide(want - at[lo], gap, out=np.zeros(len(n)), where=gap > 0), 0, 1)
+            yield first.assign(n=n.astype("int64"), q=q, estimate=mean[lo] + share * (mean[hi] - mean[lo]))
 
     fields = ", ".join(f"`{x}` {merged.schema[x].dataType.simpleString()}" for x in keys)
     return merged.repartition(*keys).mapInPandas(f, f"{fields}, n long, q double, estimate double")
