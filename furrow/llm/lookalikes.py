@@ -105,7 +105,7 @@ def look_alike_classes(docs: DataFrame, id_col: str, text_col: str, most_broadca
         first = F.broadcast(first)
     base = docs.select(F.col(id_col).alias("id"), t.alias("text")).join(first, "id").where(F.md5(F.col("text").cast("binary")) == F.col("variant")).dropDuplicates(["id", "variant"])
     texts = base.select("id", "variant", F.octet_length("text").alias("size"), plain_form(F.col("text")).alias("mapped"))
-    texts = texts.withColumn("exact", F.md5(composed("mapped").cast("binary")))
+    texts = stage(texts.withColumn("exact", F.md5(composed("mapped").cast("binary"))), "mapped")
     members = spark.sql(
         """WITH shown AS (SELECT id, variant, size, exact, collate(mapped, 'UNICODE') AS shown FROM {texts}),
         classes AS (SELECT shown, exact, min(struct(size, id)).id AS class_id FROM shown GROUP BY shown, exact HAVING count(*) > 1)

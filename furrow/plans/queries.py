@@ -1,7 +1,7 @@
 """The registered queries of the core operators and their SQL."""
 
-from furrow.plans import crop_queries
+from furrow.plans import crop_queries, scalar_queries
 
-_MODULES = (crop_queries,)
+_MODULES = (scalar_queries, crop_queries)
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 SQL = {k: s for m in _MODULES for k, s in m.SQL.items()}
