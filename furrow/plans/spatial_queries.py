@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from furrow.functions.geo import pixel_of
 from furrow.operators import aggregates, joins, raster, sectors, tiles
@@ -323,9 +325,6 @@ def mask_resize(spark: SparkSession, d: str) -> DataFrame:
 @R.add()
 def polygon_simplify(spark: SparkSession, d: str) -> DataFrame:
     """Rings simplified and closed."""
-    import pandas as pd
-    from pyspark.sql import types as T
-
     @F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
     def simple(rings: pd.Series) -> pd.Series:
         return rings.map(lambda r: None if r is None else sectors.simplified_ring(list(r), 2.0))
