@@ -198,6 +198,7 @@ def tile_grid(spark: SparkSession, d: str) -> DataFrame:
 
 
 _W, _H = 92224, 6400
+TILE = 640
 _CENTRES = """(SELECT image, (d.d).detection_id, (d.d).confidence, len((d.d).polygon) AS corners, regexp_extract(image, '_(\\d+)\\.png', 1)::INT + ((d.d).bbox_xyxy[1] + (d.d).bbox_xyxy[3]) / 2 AS x, regexp_extract(image, 'tile_(\\d+)_', 1)::INT + ((d.d).bbox_xyxy[2] + (d.d).bbox_xyxy[4]) / 2 AS y
     FROM (SELECT DISTINCT image, unnest(detections) AS d FROM detections) d)""".replace("(d.d).", "d.d.")
 
@@ -208,10 +209,17 @@ def _centres(spark: SparkSession, d: str) -> DataFrame:
     return x.select("image", "d.detection_id", "d.confidence", F.size("d.polygon").alias("corners"), (F.regexp_extract("image", r"_(\d+)\.png", 1).cast("int") + mid(0)).alias("x"), (F.regexp_extract("image", r"tile_(\d+)_", 1).cast("int") + mid(1)).alias("y"))
 
 
+def _scene(spark: SparkSession, d: str) -> tuple[int, int]:
+    """Width and height of the scene: _W and _H, or as far as the images' tiles reach beyond."""
+    far = lambda pattern: F.max(F.regexp_extract("image", pattern, 1).cast("int")) + TILE
+    w, h = table(spark, d, "detections").agg(far(r"_(\d+)\.png"), far(r"tile_(\d+)_")).first()
+    return max(_W, w or 0), max(_H, h or 0)
+
+
 @R.add(f"""WITH xs AS {_STARTS(_W)}, ys AS {_STARTS(_H)} SELECT image, detection_id, (ys.i * (SELECT count(*) FROM xs) + xs.i)::INT AS tile_id FROM {_CENTRES} c JOIN xs ON c.x >= xs.at AND c.x < xs.own JOIN ys ON c.y >= ys.at AND c.y < ys.own""")
 def tile_ownership(spark: SparkSession, d: str) -> DataFrame:
     """The tile that owns each detection's centre, by arithmetic in place of a range join."""
-    return tiles.owned_detections(_centres(spark, d), _W, _H, 640, 0.10, "x", "y").select("image", "detection_id", "tile_id")
+    return tiles.owned_detections(_centres(spark, d), *_scene(spark, d), TILE, 0.10, "x", "y").select("image", "detection_id", "tile_id")
 
 
 @R.add(f"""WITH xs AS {_STARTS(_W)}, ys AS {_STARTS(_H)}, g AS (SELECT (ys.i * (SELECT count(*) FROM xs) + xs.i)::INT AS tile_id, xs.at AS x0, ys.at AS y0, xs.own AS ox, ys.own AS oy FROM xs, ys),
@@ -219,8 +227,9 @@ def tile_ownership(spark: SparkSession, d: str) -> DataFrame:
   SELECT tile_id, x0::INT AS x0, y0::INT AS y0, coalesce(detections, 0) AS detections, coalesce(masks, 0) AS masks FROM g LEFT JOIN n USING (tile_id)""")
 def tile_summary(spark: SparkSession, d: str) -> DataFrame:
     """Detections and masks of every tile, empty ones too."""
-    owned = tiles.owned_detections(_centres(spark, d), _W, _H, 640, 0.10, "x", "y")
-    return tiles.tile_summary(tiles.tile_grid(spark, _W, _H, 640, 0.10), owned, F.col("confidence") >= 0.25, F.col("corners") >= 3)
+    w, h = _scene(spark, d)
+    owned = tiles.owned_detections(_centres(spark, d), w, h, TILE, 0.10, "x", "y")
+    return tiles.tile_summary(tiles.tile_grid(spark, w, h, TILE, 0.10), owned, F.col("confidence") >= 0.25, F.col("corners") >= 3)
 
 
 _RUNS = f"(SELECT row, min(col) AS first, max(col) AS last FROM (SELECT row, col, col - row_number() OVER (PARTITION BY row ORDER BY col) AS g FROM (SELECT DISTINCT row, col FROM {PIXELS})) GROUP BY row, g)"
