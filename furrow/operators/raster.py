@@ -20,10 +20,22 @@ def decimated(pixels: DataFrame, bands: Sequence[str], factor: int, keys: Sequen
     return pixels.groupBy(*keys, *at).agg(*[F.avg(b).alias(b) for b in bands])
 
 
-def neighbourhood(points: DataFrame, radius: int, width: int, height: int) -> DataFrame:
-    """Each point once for every pixel of its window of the given radius, clamped to the raster: columns row, col are the window's."""
-    span = lambda c, n: F.explode(F.sequence(F.greatest(F.col(c) - radius, F.lit(0)), F.least(F.col(c) + radius, F.lit(n - 1))))
-    out = points.where(F.col("row").between(0, height - 1) & F.col("col").between(0, width - 1))
+def neighbourhood(points: DataFrame, radius: int, width: int | None = None, height: int | None = None) -> DataFrame:
+    """Each point once for every pixel of its window of the given radius: columns row, col are the window's.
+
+    With a width and height, windows are clamped to the raster and points outside are left out; without, no
+    point is lost, and a join to the set pixels does the clamping.
+    """
+    if (width is None) != (height is None):
+        raise ValueError("width and height go together")
+
+    def span(c: str, n: int | None) -> Column:
+        low, high = F.col(c) - radius, F.col(c) + radius
+        return F.explode(F.sequence(low, high) if n is None else F.sequence(F.greatest(low, F.lit(0)), F.least(high, F.lit(n - 1))))
+
+    out = points.where(F.col("row").isNotNull() & F.col("col").isNotNull())
+    if width is not None:
+        out = out.where(F.col("row").between(0, height - 1) & F.col("col").between(0, width - 1))
     return out.withColumn("_r", span("row", height)).withColumn("_c", span("col", width)).drop("row", "col").withColumnsRenamed({"_r": "row", "_c": "col"})
 
 

@@ -310,11 +310,12 @@ def decimated_read(spark: SparkSession, d: str) -> DataFrame:
 
 @R.add(f"SELECT plant_id, count(*) AS seen, max(n) AS most FROM (SELECT plant_id, unnest(range(greatest(row - 1, 0), least(row + 1, 3999) + 1)) AS row, cols FROM (SELECT plant_id, row, range(greatest(col - 1, 0), least(col + 1, 13999) + 1) AS cols FROM {PIXELS} WHERE row BETWEEN 0 AND 3999 AND col BETWEEN 0 AND 13999)) a, unnest(cols) u(col) JOIN (SELECT row, col, count(*) AS n FROM {PIXELS} GROUP BY ALL) b ON b.row = a.row AND b.col = u.col GROUP BY plant_id")
 def window_neighbourhood(spark: SparkSession, d: str) -> DataFrame:
-    """The window of each plant's pixel joined to the raster."""
+    """The window of each plant's pixel joined to the raster (G4), which is as large as the plants reach."""
     p = pixels(spark, d)
     n = p.groupBy("row", "col").agg(F.count(F.lit(1)).alias("n"))
-    w = raster.neighbourhood(p.select("plant_id", "row", "col"), 1, 14000, 4000)
-    return w.join(n, ["row", "col"]).groupBy("plant_id").agg(F.count(F.lit(1)).alias("seen"), F.max("n").alias("most"))
+    # windows are symmetric: each set pixel tells its surroundings, so that pixels are spread and not plants
+    w = raster.neighbourhood(n, 1).groupBy("row", "col").agg(F.count(F.lit(1)).alias("seen"), F.max("n").alias("most"))
+    return p.select("plant_id", "row", "col").join(w, ["row", "col"]).select("plant_id", "seen", "most")
 
 
 @R.add(f"SELECT plant_id, CASE WHEN osavi >= 0.5 THEN floor(area_px % 256 * (1 - 0.55::DOUBLE) + 0) ELSE area_px % 256 END::INT AS r, CASE WHEN osavi >= 0.5 THEN floor(area_px % 256 * (1 - 0.55::DOUBLE) + 255 * 0.55::DOUBLE) ELSE area_px % 256 END::INT AS g, CASE WHEN osavi >= 0.5 THEN floor(area_px % 256 * (1 - 0.55::DOUBLE) + 0) ELSE area_px % 256 END::INT AS b FROM {PIXELS}")
@@ -326,8 +327,8 @@ def alpha_overlay(spark: SparkSession, d: str) -> DataFrame:
 
 @R.add(f"WITH p AS (SELECT DISTINCT row, col FROM {PIXELS} WHERE row BETWEEN 0 AND 3999 AND col BETWEEN 0 AND 13999) SELECT t.r::INT AS row, u.c::INT AS col FROM p JOIN range(1000) t(r) ON p.row = floor(t.r * 4000 / 1000) JOIN range(3500) u(c) ON p.col = floor(u.c * 14000 / 3500)")
 def mask_resize(spark: SparkSession, d: str) -> DataFrame:
-    """Nearest-neighbour resize of a mask."""
-    p = pixels(spark, d).where("row BETWEEN 0 AND 3999 AND col BETWEEN 0 AND 13999").select("row", "col").distinct()
+    """Nearest-neighbour resize of a mask to a quarter (R10), as far as the plants reach; rows north of the origin are negative."""
+    p = pixels(spark, d).select("row", "col").distinct()
     return raster.resized_nearest(p, (4000, 14000), (1000, 3500))
 
 
