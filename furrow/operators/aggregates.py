@@ -25,19 +25,24 @@ def conditional_counts(df: DataFrame, **conditions: Column) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in conditions.items()])
 
 
-def canopy_aggregate(pixels: DataFrame, plant: str, value: str, distance: str, keep: Column, inside: Column) -> DataFrame:
+def canopy_aggregate(pixels: DataFrame, plant: str, value: str, distance: str, keep: Column, inside: Column, n: Column | None = None) -> DataFrame:
     """(plant, value, category value, soil fraction, match distance, pixels) of each plant.
 
     ``keep`` marks pixels that are not soil; pixels outside the soil raster are kept. The index is the mean of
-    the kept pixels inside the index raster; a plant of which nothing is kept has no index.
+    the kept pixels inside the index raster; a plant of which nothing is kept has no index. A row stands for
+    ``n`` pixels of one value, or for one.
     """
-    used = keep & inside
+    used, n = keep & inside, F.lit(1) if n is None else n
+
+    def mean(c: Column, of: Column) -> Column:
+        return F.try_divide(F.sum(F.when(of, c * n)), F.sum(F.when(of & c.isNotNull(), n)))
+
     return pixels.groupBy(plant).agg(
-        F.round(F.avg(F.when(used, F.col(value))), 3).alias("value"),
-        F.avg(F.when(used, F.col(value))).alias("raw_value"),
-        F.round(1 - F.avg(keep.cast("double")), 3).alias("soil_fraction"),
-        F.round(F.avg(F.when(used, F.col(distance))), 2).alias("match_distance"),
-        F.count_if(F.coalesce(used, F.lit(False))).alias("canopy_px"),
+        F.round(mean(F.col(value), used), 3).alias("value"),
+        mean(F.col(value), used).alias("raw_value"),
+        F.round(1 - mean(keep.cast("double"), F.lit(True)), 3).alias("soil_fraction"),
+        F.round(mean(F.col(distance), used), 2).alias("match_distance"),
+        F.sum(F.when(used, n).otherwise(0)).cast("long").alias("canopy_px"),
     )
 
 

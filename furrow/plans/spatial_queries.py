@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,11 +77,19 @@ def raster_lookup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _canopy(spark: SparkSession, d: str) -> DataFrame:
-    """Every eighth pixel of each plant's box."""
-    w = table(spark, d, "plants_with_ids").where("sector_label <> 'NOISE' OR sector_label IS NULL").where("mask_file IS NOT NULL").dropDuplicates(["plant_id", "bbox_x", "bbox_y"])
-    span = lambda a, n: F.explode(F.sequence(F.col(a), F.col(a) + F.greatest(F.col(n), F.lit(1)) - 1, F.lit(8)))
-    px = w.select("plant_id", span("bbox_x", "bbox_width").alias("px"), "bbox_y", "bbox_height").select("plant_id", "px", span("bbox_y", "bbox_height").alias("py"))
-    return px.withColumns({"x": F.lit(SCENE[0]) * F.col("px") + F.lit(SCENE[2]), "y": F.lit(SCENE[4]) * F.col("py") + F.lit(SCENE[5])})
+    """Every pixel of each plant's box, as spans that lie in one pixel of the raster: x, y of the first, and their number n."""
+    w = table(spark, d, "plants_with_ids").where("sector_label <> 'NOISE' OR sector_label IS NULL").where("mask_file IS NOT NULL")
+    w = w.select("plant_id", "bbox_x", "bbox_y", "bbox_width", "bbox_height").distinct()
+    ground = {"x": lambda p: F.lit(SCENE[0]) * p + F.lit(SCENE[2]), "y": lambda p: F.lit(SCENE[4]) * p + F.lit(SCENE[5])}
+    cell = {"x": lambda p: pixel_of(_GRID, ground["x"](p), F.lit(0.0))[0], "y": lambda p: pixel_of(_GRID, F.lit(0.0), ground["y"](p))[1]}
+
+    def spans(c: str, length: str) -> Column:
+        at = F.sequence(F.col(f"bbox_{c}"), F.col(f"bbox_{c}") + F.greatest(F.col(length), F.lit(1)) - 1)
+        cells = F.transform(at, cell[c])
+        return F.explode(F.transform(F.array_distinct(cells), lambda k: F.struct((F.col(f"bbox_{c}") + F.array_position(cells, k) - 1).alias("at"), F.size(F.filter(cells, lambda v: v == k)).alias("n"))))
+
+    px = w.withColumn("h", spans("x", "bbox_width")).withColumn("v", spans("y", "bbox_height"))
+    return px.select("plant_id", ground["x"](F.col("h.at")).alias("x"), ground["y"](F.col("v.at")).alias("y"), (F.col("h.n").cast("long") * F.col("v.n")).alias("n"))
 
 
 _CANOPY = f"""(SELECT plant_id, {SCENE[0]!r}::DOUBLE * px + {SCENE[2]!r}::DOUBLE AS x, {SCENE[4]!r}::DOUBLE * py + {SCENE[5]!r}::DOUBLE AS y FROM (SELECT plant_id, px, unnest(range(bbox_y, bbox_y + greatest(bbox_height, 1), 8)) AS py
@@ -94,7 +102,7 @@ def canopy_pixel_aggregate(spark: SparkSession, d: str) -> DataFrame:
     """Canopy pixels looked up in the raster, gated by soil, averaged by plant."""
     j = joins.raster_lookup(_canopy(spark, d), _raster(spark, d), _GRID, 3400, 3000, "x", "y")
     keep = F.col("band").isNull() | (F.col("band") >= 0.2)
-    return aggregates.canopy_aggregate(j.withColumn("dist", F.lit(0.0)), "plant_id", "band", "dist", keep, F.col("band").isNotNull()).select("plant_id", "value", "soil_fraction", "canopy_px")
+    return aggregates.canopy_aggregate(j.withColumn("dist", F.lit(0.0)), "plant_id", "band", "dist", keep, F.col("band").isNotNull(), F.col("n")).select("plant_id", "value", "soil_fraction", "canopy_px")
 
 
 @R.add(f"""WITH n AS (SELECT *, row_number() OVER (PARTITION BY sector_id ORDER BY plant_id) - 1 AS i, count(*) OVER (PARTITION BY sector_id) AS n FROM {PLANTS} WHERE sector_id >= 0)
