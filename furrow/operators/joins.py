@@ -123,30 +123,47 @@ def raster_lookup(points: DataFrame, raster: DataFrame, to_geo: Affine, width: i
     return keyed.join(raster, ["row", "col"], "left")
 
 
-def in_polygon(x: str, y: str, ring: Column, touch: bool = True) -> Column:
-    """Crossing number of a ring (array of points); on its edge counts as inside if ``touch``."""
-    px, py = F.col(x), F.col(y)
-    at = lambda p, i: F.element_at(p, i)
+def ring_sides(ring: Column) -> Column:
+    """The sides of a ring (array of points) as an array of (x1, y1, x2, y2); an open ring is closed."""
     nxt = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
-    sides = F.arrays_zip(ring.alias("p"), nxt.alias("q"))
+    at = lambda e, n, i: F.element_at(e[n], i).alias(f"{'xy'[i - 1]}{1 + (n == 'q')}")
+    return F.transform(F.arrays_zip(ring.alias("p"), nxt.alias("q")), lambda e: F.struct(*[at(e, n, i) for n in "pq" for i in (1, 2)]))
 
-    def parts(e):
-        return at(e["p"], 1), at(e["p"], 2), at(e["q"], 1), at(e["q"], 2)
+
+def in_sides(x: str, y: str, sides: Column, touch: bool = True) -> Column:
+    """Crossing number of the sides of a ring; on its edge counts as inside if ``touch``."""
+    px, py = F.col(x), F.col(y)
 
     def crosses(e):
-        x1, y1, x2, y2 = parts(e)
         # try_divide: a level edge is never crossed, and the sides of AND may be evaluated in any order
-        return ((y1 > py) != (y2 > py)) & (px < x1 + F.try_divide((x2 - x1) * (py - y1), y2 - y1))
+        return ((e["y1"] > py) != (e["y2"] > py)) & (px < e["x1"] + F.try_divide((e["x2"] - e["x1"]) * (py - e["y1"]), e["y2"] - e["y1"]))
 
     def on(e):
-        x1, y1, x2, y2 = parts(e)
-        level = (x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)
-        return (level == 0) & px.between(F.least(x1, x2), F.greatest(x1, x2)) & py.between(F.least(y1, y2), F.greatest(y1, y2))
+        level = (e["x2"] - e["x1"]) * (py - e["y1"]) - (e["y2"] - e["y1"]) * (px - e["x1"])
+        return (level == 0) & px.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & py.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
 
     inside = F.size(F.filter(sides, crosses)) % 2 == 1
     return inside | F.exists(sides, on) if touch else inside
 
 
+def in_polygon(x: str, y: str, ring: Column, touch: bool = True) -> Column:
+    """Crossing number of a ring (array of points); on its edge counts as inside if ``touch``."""
+    return in_sides(x, y, ring_sides(ring), touch)
+
+
+def in_polygons(points: DataFrame, x: str, y: str, polygons: DataFrame, ring: str, touch: bool = True) -> DataFrame:
+    """Each point with each polygon that holds it, the columns of both; a point in none is left out.
+
+    The polygons, a short table of named areas, go to every task with their sides made once; a ring's box is looked
+    at before its sides.
+    """
+    side = lambda i: F.transform(ring, lambda p: F.element_at(p, i))
+    boxes = {"_west": F.array_min(side(1)), "_east": F.array_max(side(1)), "_south": F.array_min(side(2)), "_north": F.array_max(side(2))}
+    near = F.col(x).between(F.col("_west"), F.col("_east")) & F.col(y).between(F.col("_south"), F.col("_north"))
+    made = {**boxes, "_sides": ring_sides(F.col(ring))}
+    return points.join(F.broadcast(polygons.withColumns(made)), near & in_sides(x, y, F.col("_sides"), touch)).drop(*made)
+
+
 def in_extent(x: str, y: str, west: float, south: float, east: float, north: float) -> Column:
     """Inside a box, all four sides included; false for nulls."""
     return F.coalesce(F.col(x).between(west, east) & F.col(y).between(south, north), F.lit(False))

@@ -118,13 +118,9 @@ _EDGES = "(SELECT zone_id, ring[i][1] AS x1, ring[i][2] AS y1, ring[i % len(ring
 
 @R.add(f"""WITH h AS (SELECT plant_id, zone_id FROM {POSITIONS} p JOIN {_EDGES} e ON (y1 > y) <> (y2 > y) AND x < x1 + (x2 - x1) * (y - y1) / (y2 - y1) GROUP BY plant_id, zone_id HAVING count(*) % 2 = 1) SELECT plant_id FROM h""")
 def point_in_polygon(spark: SparkSession, d: str) -> DataFrame:
-    """Plants within two zones, by crossing number (J7, R5); the zones' rings are literals of the plan."""
-    zones = [r["ring"] for r in table(spark, d, "boundary_zones").where("zone_id IN (3, 7)").select("ring").limit(10).collect()]
-    ring = lambda r: F.array(*[F.array(F.lit(float(p[0])), F.lit(float(p[1]))) for p in r])
-    inside = F.lit(False)
-    for r in zones:
-        inside = inside | joins.in_polygon("x", "y", ring(r))
-    return positions(spark, d).where(inside).select("plant_id")
+    """Plants within each zone of boundary_zones, by crossing number (J7, R5); a plant in several zones has a row for each."""
+    zones = table(spark, d, "boundary_zones").select("zone_id", "ring")
+    return joins.in_polygons(positions(spark, d).select("plant_id", "x", "y"), "x", "y", zones, "ring").select("plant_id", "zone_id")
 
 
 @R.add(f"SELECT plant_id, coalesce(x BETWEEN 401000 AND 405000 AND y BETWEEN 1100000 AND 1100300, false) AS in_orthomosaic FROM {PLANTS}")
