@@ -68,7 +68,7 @@ def predict_stage(model: PipelineModel, df: DataFrame, features: Sequence[str],
     return pred.withColumn(out, F.when(F.col("_pred") < len(labels), name)).drop(*drop)
 
 
-def impute_by_boosting(df: DataFrame, id_col: str, x: str, y: str, target: str, context: str, base: Sequence[str], cell: float, k: int = 8, trees: int = 60, depth: int = 5, rate: float = 0.1, seed: int = 42, least: int = 200) -> tuple[DataFrame, float | None]:
+def impute_by_boosting(df: DataFrame, id_col: str, x: str, y: str, target: str, context: str, base: Sequence[str], cell: float, k: int = 8, trees: int = 400, depth: int = 5, rate: float = 0.05, seed: int = 42, least: int = 200) -> tuple[DataFrame, float | None]:
     """(id, value, source) for every row that has the target or gets a prediction, and R squared on a fifth held out.
 
     Features are the base columns (nulls as 0), the mean target and mean context of the k nearest measured
@@ -93,9 +93,11 @@ def impute_by_boosting(df: DataFrame, id_col: str, x: str, y: str, target: str,
     return kept.unionByName(filled.select("id", F.round("_pred", 3).alias("value"), F.lit("imputed").alias("source"))), r2
 
 
-def archetypes(df: DataFrame, id_col: str, features: Sequence[str], order_by: str, k: int = 4, seed: int = 42, least: int = 50) -> DataFrame:
+def archetypes(df: DataFrame, id_col: str, features: Sequence[str], order_by: str, k: int = 4, seed: int = 42, least: int = 50, starts: int = 3) -> DataFrame:
     """(id, archetype, confidence): Gaussian mixture over scaled features; archetypes numbered by their mean of ``order_by``.
 
+    Of ``starts`` fits from different seeds the likeliest is kept.
+
     Rows with a missing feature get -1 and no confidence, as all rows do if fewer than ``least`` are complete.
     """
     f = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in features]
@@ -104,7 +106,8 @@ def archetypes(df: DataFrame, id_col: str, features: Sequence[str], order_by: st
     if whole.count() < least:
         return rows.select("id", F.lit(-1).alias("archetype"), F.lit(None).cast("double").alias("confidence"))
     scaled = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="_raw"), StandardScaler(inputCol="_raw", outputCol="features", withMean=True)]).fit(whole).transform(whole)
-    model = GaussianMixture(k=k, seed=seed, maxIter=60, featuresCol="features").fit(scaled)
+    fits = [GaussianMixture(k=k, seed=seed + i, maxIter=60, featuresCol="features").fit(scaled) for i in range(starts)]
+    model = max(fits, key=lambda m: m.summary.logLikelihood)
     at = list(features).index(order_by)
     means = np.array([g.mean.toArray()[at] for g in model.gaussians])
     number = F.element_at(F.array(*[F.lit(int(i)) for i in np.argsort(np.argsort(means))]), F.col("prediction") + 1)
