@@ -156,20 +156,18 @@ def near_pairs(df: DataFrame, id_col: str, x: str, y: str, radius: float, value:
 
 
 class RegionSlabs:
-    """A trapezoidal decomposition: edges (zone, x1, y1, x2, y2) in slabs between their x, ordered by y inside a slab."""
+    """A trapezoidal decomposition: edges (zone, x1, y1, x2, y2) in slabs between their x and the x of their crossings, ordered by y inside a slab."""
 
     def __init__(self, edges: np.ndarray):
         e = edges[edges[:, 1] != edges[:, 3]] if len(edges) else np.empty((0, 5))
         swap = e[:, 1] > e[:, 3]
         e[swap] = e[swap][:, [0, 3, 4, 1, 2]]
         self.breaks = np.unique(e[:, [1, 3]])
-        lo, hi = np.searchsorted(self.breaks, e[:, 1]), np.searchsorted(self.breaks, e[:, 3])
-        row, slab = _ranges(lo, hi - 1)
-        mid = (self.breaks[slab] + self.breaks[slab + 1]) / 2 if len(slab) else np.empty(0)
-        at = e[row]
-        ymid = at[:, 2] + (at[:, 4] - at[:, 2]) * (mid - at[:, 1]) / np.where(len(at), at[:, 3] - at[:, 1], 1)
-        order = np.lexsort((ymid, slab))
-        self.edge, slab = at[order], slab[order]
+        while True:
+            slab = self._ordered(e)
+            if not len(more := np.setdiff1d(self._crossings(slab), self.breaks)):
+                break
+            self.breaks = np.union1d(self.breaks, more)
         count = np.bincount(slab, minlength=max(0, len(self.breaks) - 1)) if len(slab) else np.zeros(0, np.int64)
         self.start = np.r_[0, np.cumsum(count)]
         self.zone = np.full(len(self.edge), np.nan)  # of the trapezoid above each edge
@@ -179,6 +177,30 @@ class RegionSlabs:
                 inside ^= {self.edge[k, 0]}
                 self.zone[k] = min(inside) if inside else np.nan
 
+    def _ordered(self, e: np.ndarray) -> np.ndarray:
+        """Sets ``edge``, by slab and by y at its middle; returns the slabs."""
+        lo, hi = np.searchsorted(self.breaks, e[:, 1]), np.searchsorted(self.breaks, e[:, 3])
+        row, slab = _ranges(lo, hi - 1)
+        mid = (self.breaks[slab] + self.breaks[slab + 1]) / 2 if len(slab) else np.empty(0)
+        at = e[row]
+        ymid = at[:, 2] + (at[:, 4] - at[:, 2]) * (mid - at[:, 1]) / np.where(len(at), at[:, 3] - at[:, 1], 1)
+        order = np.lexsort((ymid, slab))
+        self.edge = at[order]
+        return slab[order]
+
+    def _crossings(self, slab: np.ndarray) -> np.ndarray:
+        """The x where neighbours of a slab cross inside it. While any edges of a slab cross, some neighbours do."""
+        k = np.flatnonzero(slab[1:] == slab[:-1])
+        if not len(k):
+            return np.empty(0)
+        a, b, left, right = self.edge[k], self.edge[k + 1], self.breaks[slab[k]], self.breaks[slab[k] + 1]
+        up = lambda x: (b[:, 2] - a[:, 2]) + (b[:, 4] - b[:, 2]) * (x - b[:, 1]) / (b[:, 3] - b[:, 1]) - (a[:, 4] - a[:, 2]) * (x - a[:, 1]) / (a[:, 3] - a[:, 1])
+        dl, dr = up(left), up(right)
+        slack = 1e-9 * (1 + np.abs(a[:, [2, 4]]).max(1) / 1e3)  # edges that meet at a break differ there by rounding
+        cross = (np.minimum(dl, dr) < -slack) & (np.maximum(dl, dr) > slack)
+        x = left[cross] + (right - left)[cross] * (dl / np.where(cross, dl - dr, 1))[cross]
+        return x[(x > left[cross]) & (x < right[cross])]
+
     def locate(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """The smallest zone that holds each point, or NaN. A point on an edge belongs to what lies above it, at a break to the right."""
         out = np.full(len(x), np.nan)
