@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from furrow.functions.indices import _c, clip
+from furrow.functions.rounding import half_away
 
 # Palettes, from the lowest bin to the highest, with the bins' edges and names.
 RED_GREEN = ("a50026", "d73027", "f46d43", "fdae61", "fee08b", "ffffbf", "d9ef8b", "a6d96a", "66bd63", "1a9850", "006837")
@@ -71,7 +72,7 @@ def percentile_stretch(df: DataFrame, value: str, out: str, low: float = 0.02, h
     The percentiles interpolate linearly, over a histogram of the values rounded to ``digits``.
     """
     filled = df.withColumn("_z", F.coalesce(F.col(value), F.lit(0.0)))
-    hist = filled.groupBy(F.round("_z", digits).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    hist = filled.groupBy(half_away("_z", digits).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
     ends = hist.agg(F.percentile("_v", [low, high], F.col("_c")).alias("_p"))  # one row
     z = filled.crossJoin(F.broadcast(ends))
     lo, hi = F.col("_p")[0], F.col("_p")[1]

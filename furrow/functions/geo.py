@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from furrow.functions.indices import _c
+from furrow.functions.rounding import nearest
 
 # Fixed values of the WGS84 ellipsoid and the UTM grid.
 A, FLAT, K0, FALSE_EAST = 6378137.0, 1 / 298.257223563, 0.9996, 500000.0
@@ -78,8 +79,8 @@ def pixel_of(t: Affine, x: str | Column, y: str | Column, how: str = "floor") ->
 
 
 def geo_hash(x: str | Column, y: str | Column) -> Column:
-    """Six characters of the MD5 of "x,y", in four decimals without trailing zeros but one."""
-    part = lambda c: F.regexp_replace(F.format_string("%.4f", F.bround(_c(c), 4)), r"(\.\d+?)0+$", "$1")
+    """Six characters of the MD5 of "x,y", in four decimals (the exact binary value rounded) without trailing zeros but one."""
+    part = lambda c: F.regexp_replace(F.format_string("%.4f", nearest(c, 4)), r"(\.\d+?)0+$", "$1")
     return F.upper(F.substring(F.md5(F.concat_ws(",", part(x), part(y)).cast("binary")), 1, 6))
 
 

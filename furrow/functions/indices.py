@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from furrow.functions.rounding import half_even
+
 # The guards against a zero sum, the soil factor of OSAVI, metres a pixel.
 EPS_RASTER = 1e-10
 EPS_RGB = 1e-6
@@ -49,7 +51,7 @@ def ground_area(area_px: str | Column, gsd_x: float = GSD, gsd_y: float = GSD) -
 
 def biomass_kg(area_m2: str | Column, ndvi: str | Column, label: str | Column) -> Column:
     """34 * area^1.2 * (ndvi + 0.1), a missing ndvi as 0.3, in three decimals; nothing for rows labelled NOISE."""
-    kg = F.round(34.0 * F.pow(_c(area_m2), F.lit(1.2)) * (F.coalesce(_c(ndvi), F.lit(0.3)) + 0.1), 3)
+    kg = half_even(34.0 * F.pow(_c(area_m2), F.lit(1.2)) * (F.coalesce(_c(ndvi), F.lit(0.3)) + 0.1), 3)
     return F.when(_c(label).eqNullSafe(F.lit("NOISE")), 0.0).otherwise(kg)
 
 

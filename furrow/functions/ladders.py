@@ -60,9 +60,11 @@ def growth_stage(area: str | Column) -> Column:
 
 
 def sector_colour(sector: str | Column) -> Column:
-    """A palette colour by sector id modulo the palette's length; negative ids are noise."""
+    """A palette colour by sector id modulo the palette's length; negative ids are noise, null has none."""
     s = _c(sector)
-    return F.when(s < 0, NOISE_COLOUR).otherwise(F.element_at(F.array(*map(F.lit, SECTOR_COLOURS)), (F.pmod(s, F.lit(len(SECTOR_COLOURS))) + 1).cast("int")))
+    # a null index would give the last entry of a literal array
+    palette = F.element_at(F.array(*map(F.lit, SECTOR_COLOURS)), (F.pmod(s, F.lit(len(SECTOR_COLOURS))) + 1).cast("int"))
+    return F.when(s < 0, NOISE_COLOUR).when(s.isNotNull(), palette)
 
 
 def level(score: str | Column, low: float = 33.0, high: float = 66.0) -> Column:

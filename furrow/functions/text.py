@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from furrow.functions.indices import _c
+from furrow.functions.rounding import RULES, half_even
 
 
 def duration(seconds: str | Column) -> Column:
@@ -17,9 +18,9 @@ def duration(seconds: str | Column) -> Column:
     return F.when(s.isNull(), "n/a").otherwise(F.format_string("%02d:%02d:%02d", *parts))
 
 
-def decimals(c: str | Column, digits: int = 4) -> Column:
+def decimals(c: str | Column, digits: int = 4, rule: str = "nearest") -> Column:
     """A number in fixed decimals, n/a for null."""
-    return F.when(_c(c).isNull(), "n/a").otherwise(F.format_string(f"%.{digits}f", _c(c).cast("double")))
+    return F.when(_c(c).isNull(), "n/a").otherwise(F.format_string(f"%.{digits}f", RULES[rule](c, digits)))
 
 
 def search_key(*parts: str | Column) -> Column:
@@ -31,8 +32,9 @@ def row_col_code(row: str, col: str) -> tuple[Column, Column]:
     return F.when(_c(row).isNotNull(), F.format_string("R%03d", _c(row))), F.when(_c(col).isNotNull(), F.format_string("C%03d", _c(col)))
 
 
-def round_floats(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.withColumns({c: F.bround(c, digits) for c, t in df.dtypes if t in ("double", "float")})
+def round_floats(df: DataFrame, digits: int = 6, rule: str = "nearest") -> DataFrame:
+    """All floating columns rounded by one of functions.rounding's rules."""
+    return df.withColumns({c: RULES[rule](c, digits) for c, t in df.dtypes if t in ("double", "float")})
 
 
 def ordered_columns(df: DataFrame, preferred: Sequence[str]) -> DataFrame:
@@ -48,4 +50,18 @@ def with_null_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def scaled(c: str | Column, shown: float, source: float) -> Column:
     """A pixel position in a preview of another size, two decimals."""
-    return F.bround(_c(c) * F.lit(shown / source), 2)
+    return half_even(_c(c) * F.lit(shown / source), 2)
+
+
+def plain_numbers(text: str | Column) -> Column:
+    """Numbers like 1.10005E6 in a text, at most seven digits before the point, written without an exponent."""
+    def shifted(n: int) -> Column:
+        # digits behind the point move before it; a short fraction is padded with zeros
+        return rf"(?<=[\[,:])(-?\d)\.(\d{{{n}}})(\d*)E{n}(?=[,\]}}])"
+
+    out = _c(text)
+    for n in (7, 6, 5, 4, 3):
+        out = F.regexp_replace(out, rf"(?<=[\[,:])(-?\d)\.(\d{{1,{n}}})E{n}(?=[,\]}}])", "$1.$2" + "0" * n + f"E{n}")
+        out = F.regexp_replace(out, shifted(n), "$1$2.$3E")
+        out = F.regexp_replace(out, r"\.(\d+?)0*E(?=[,\]}])", ".$1")
+    return F.regexp_replace(out, r"\.E(?=[,\]}])", ".0")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from furrow.functions.indices import biomass_kg, ground_area
+from furrow.functions.rounding import half_away, nearest
 
 
 def biomass_rollup(plants: DataFrame, area: str, ndvi: str, sector: str = "sector_id", label: str = "sector_label") -> DataFrame:
@@ -38,10 +39,10 @@ def canopy_aggregate(pixels: DataFrame, plant: str, value: str, distance: str, k
         return F.try_divide(F.sum(F.when(of, c * n)), F.sum(F.when(of & c.isNotNull(), n)))
 
     return pixels.groupBy(plant).agg(
-        F.round(mean(F.col(value), used), 3).alias("value"),
+        nearest(mean(F.col(value), used), 3).alias("value"),
         mean(F.col(value), used).alias("raw_value"),
-        F.round(1 - mean(keep.cast("double"), F.lit(True)), 3).alias("soil_fraction"),
-        F.round(mean(F.col(distance), used), 2).alias("match_distance"),
+        nearest(1 - mean(keep.cast("double"), F.lit(True)), 3).alias("soil_fraction"),
+        nearest(mean(F.col(distance), used), 2).alias("match_distance"),
         F.sum(F.when(used, n).otherwise(0)).cast("long").alias("canopy_px"),
     )
 
@@ -59,7 +60,7 @@ def otsu_threshold(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
     never_zero = lambda c: F.when(c == 0, 1e-5).otherwise(c)
     h = h.select(*keys, "bin", "c", *[F.sum(e).over(w).alias(n) for n, e, w in (("w1", F.col("n"), up), ("s1", F.col("n") * F.col("c"), up), ("w2", F.col("n"), down), ("s2", F.col("n") * F.col("c"), down))])
     m = F.col("s1") / never_zero(F.col("w1")) - F.col("s2") / never_zero(F.col("w2"))
-    h = h.where("bin < 255").withColumn("var", F.round(never_zero(F.col("w1")) * never_zero(F.col("w2")) * m * m, 3))
+    h = h.where("bin < 255").withColumn("var", half_away(never_zero(F.col("w1")) * never_zero(F.col("w2")) * m * m, 3))
     return h.groupBy(*keys).agg(F.max(F.struct("var", (-F.col("bin")).alias("b"), "c")).alias("m")).select(*keys, F.col("m.c").alias("threshold"))
 
 
@@ -71,7 +72,7 @@ def sunlit(brightness: Column, threshold: Column, floor: float = 50.0) -> Column
 def correlations(df: DataFrame, pairs: dict[str, tuple[str, str]], digits: int = 6) -> DataFrame:
     """Pearson correlations over the rows where both values exist."""
     both = lambda a, b: F.corr(F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b)))
-    return df.agg(*[F.round(both(a, b), digits).alias(k) for k, (a, b) in pairs.items()])
+    return df.agg(*[half_away(both(a, b), digits).alias(k) for k, (a, b) in pairs.items()])
 
 
 def best_row(df: DataFrame, by: Column, sequence: Column, keys: list[str], highest: bool = True) -> DataFrame:
@@ -107,7 +108,7 @@ def sector_frames(points: DataFrame, sector: str, x: str, y: str) -> DataFrame:
     flip = F.when(F.when(F.abs("ax") >= F.abs("ay"), F.col("ax")).otherwise(F.col("ay")) < 0, -1.0).otherwise(1.0)
     m = m.withColumn("_f", flip).withColumns({"ax": F.col("ax") * F.col("_f"), "ay": F.col("ay") * F.col("_f")}).select(sector, "n", "cx", "cy", "ax", "ay")
     p = project(rows.join(m, sector), x, y)
-    h = p.groupBy(sector, F.round("minor", 3).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    h = p.groupBy(sector, half_away("minor", 3).alias("v")).agg(F.count(F.lit(1)).alias("c"))
     q = h.groupBy(sector).agg(F.percentile("v", [0.05, 0.95], F.col("c")).alias("q"))
     ends = p.groupBy(sector).agg(F.min("major").alias("major_min"), F.max("major").alias("major_max"))
     return m.join(ends, sector).join(q, sector).select(*m.columns, "major_min", "major_max", F.col("q")[0].alias("minor_q05"), F.col("q")[1].alias("minor_q95"))

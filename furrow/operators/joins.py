@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from furrow.functions.geo import Affine, pixel_of
+from furrow.functions.rounding import half_even
 from furrow.session import stage
 
 
@@ -63,6 +64,8 @@ def knn_join(left: DataFrame, right: DataFrame, k: int, cell: float, id_col: str
         todo = stage(todo.join(full.select("id"), "id", "left_anti"), "knn-left")
         if todo.isEmpty():
             break
+    else:
+        raise RuntimeError(f"neighbours were not settled within {most_rounds} rounds")
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
@@ -86,7 +89,7 @@ def smooth_by_neighbours(df: DataFrame, id_col: str, x: str, y: str, value: str,
     out = rows.join(mean, "id", "left")
     enough = F.col("_n") > (1 if include_self else 0)
     s = F.when(enough, own * F.col("value") + (1 - own) * F.col("_m")).otherwise(F.col("value"))
-    return out.select("id", "value", (F.bround(s, digits) if digits else s).alias("smoothed"))
+    return out.select("id", "value", (half_even(s, digits) if digits else s).alias("smoothed"))
 
 
 def neighbour_context(targets: DataFrame, measured: DataFrame, value: str, k: int, cell: float, id_col: str = "id", x: str = "x", y: str = "y") -> DataFrame:
@@ -95,9 +98,11 @@ def neighbour_context(targets: DataFrame, measured: DataFrame, value: str, k: in
     return n.groupBy("id").agg(F.avg("v").alias("mean"), F.avg("d").alias("distance"))
 
 
-def nearest_within(left: DataFrame, right: DataFrame, radius: float, id_col: str = "id", x: str = "x", y: str = "y") -> DataFrame:
+def nearest_within(left: DataFrame, right: DataFrame, radius: float, id_col: str = "id", x: str = "x", y: str = "y", exclude_self: bool = False) -> DataFrame:
     """(id, other, d): the nearest row of ``right`` at most ``radius`` away, ties by id; rows without one are left out.
 
+    With ``exclude_self`` a row of equal id is not a neighbour.
+
     With squares of side radius the 3 x 3 surroundings always suffice; the minimum is an aggregate, so matches
     combine before the shuffle.
     """
@@ -107,6 +112,8 @@ def nearest_within(left: DataFrame, right: DataFrame, radius: float, id_col: str
     wide = b.select(F.col("id").alias("other"), F.col("x").alias("bx"), F.col("y").alias("by"), F.floor(F.col("x") / side).alias("_ox"), F.floor(F.col("y") / side).alias("_oy"))
     wide = wide.withColumn("_i", shift).withColumn("_j", shift).withColumns({"cx": F.col("_ox") + F.col("_i"), "cy": F.col("_oy") + F.col("_j")}).drop("_ox", "_oy", "_i", "_j")
     met = a.withColumns({"cx": F.floor(F.col("x") / side), "cy": F.floor(F.col("y") / side)}).join(wide, ["cx", "cy"])
+    if exclude_self:
+        met = met.where("id <> other")
     dx, dy = F.col("x") - F.col("bx"), F.col("y") - F.col("by")
     met = met.withColumn("d", F.sqrt(dx * dx + dy * dy)).where(F.col("d") <= radius)
     return met.groupBy("id").agg(F.min(F.struct("d", "other")).alias("m")).select("id", "m.other", "m.d")

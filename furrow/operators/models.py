@@ -16,6 +16,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from furrow.functions.rounding import half_even
 from furrow.operators.joins import neighbour_context
 
 
@@ -90,7 +91,7 @@ def impute_by_boosting(df: DataFrame, id_col: str, x: str, y: str, target: str,
     trial = gbt.fit(known.where("split = 'train'")).transform(known.where("split = 'test'"))
     r2 = trial.agg((1 - F.sum((F.col("_target") - F.col("_pred")) ** 2) / (F.var_pop("_target") * F.count("_target")))).first()[0]
     filled = gbt.fit(known).transform(rows.where("_target IS NULL"))
-    return kept.unionByName(filled.select("id", F.round("_pred", 3).alias("value"), F.lit("imputed").alias("source"))), r2
+    return kept.unionByName(filled.select("id", half_even("_pred", 3).alias("value"), F.lit("imputed").alias("source"))), r2
 
 
 def archetypes(df: DataFrame, id_col: str, features: Sequence[str], order_by: str, k: int = 4, seed: int = 42, least: int = 50, starts: int = 3) -> DataFrame:
@@ -111,7 +112,7 @@ def archetypes(df: DataFrame, id_col: str, features: Sequence[str], order_by: st
     at = list(features).index(order_by)
     means = np.array([g.mean.toArray()[at] for g in model.gaussians])
     number = F.element_at(F.array(*[F.lit(int(i)) for i in np.argsort(np.argsort(means))]), F.col("prediction") + 1)
-    got = model.transform(scaled).select("id", number.alias("archetype"), F.round(F.array_max(vector_to_array("probability")), 3).alias("confidence"))
+    got = model.transform(scaled).select("id", number.alias("archetype"), half_even(F.array_max(vector_to_array("probability")), 3).alias("confidence"))
     return rows.select("id").join(got, "id", "left").fillna(-1, ["archetype"])
 
 

@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from furrow.functions.rounding import half_away
 from furrow.operators.joins import knn_join
 from furrow.session import running_total
 
@@ -17,7 +18,7 @@ def spacing(points: DataFrame, id_col: str, x: str, y: str, k: int, cell: float)
     Both are exact over distances rounded to micrometres.
     """
     n = knn_join(points, points, max(1, k - 1), cell, id_col, x, y)
-    h = n.groupBy("rank", F.round("d", 6).alias("d")).agg(F.count(F.lit(1)).alias("c"))
+    h = n.groupBy("rank", half_away("d", 6).alias("d")).agg(F.count(F.lit(1)).alias("c"))
     nearest = F.when(F.col("rank") == 1, F.col("c")).otherwise(0)
     far = F.when(F.col("rank") == max(1, k - 1), F.col("c")).otherwise(0)
     return h.agg(F.percentile("d", 0.5, nearest).alias("nearest"), F.percentile("d", 0.9, far).alias("kth"))
@@ -25,14 +26,14 @@ def spacing(points: DataFrame, id_col: str, x: str, y: str, k: int, cell: float)
 
 def relabelled(points: DataFrame, sector: str, x: str, y: str) -> DataFrame:
     """(old, sector): sectors numbered from 0 by falling mean y, then rising mean x, then the old id; noise stays -1."""
-    m = points.where(F.col(sector) >= 0).groupBy(F.col(sector).alias("old")).agg(F.round(F.avg(y), 6).alias("_y"), F.round(F.avg(x), 6).alias("_x"))
+    m = points.where(F.col(sector) >= 0).groupBy(F.col(sector).alias("old")).agg(half_away(F.avg(y), 6).alias("_y"), half_away(F.avg(x), 6).alias("_x"))
     order = Window.partitionBy(F.lit(1)).orderBy(F.desc("_y"), "_x", "old")  # one row a sector
     return m.select("old", (F.row_number().over(order) - 1).alias("sector"))
 
 
 def axis_tolerance(points: DataFrame, keys: list[str], minor: str, factor: float = 1.5, least: float = 1e-9, digits: int = 3) -> DataFrame:
     """(keys, tolerance): factor times the median of each value's nearest non-zero gap, over values rounded to ``digits``."""
-    h = points.groupBy(*keys, F.round(minor, digits).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    h = points.groupBy(*keys, half_away(minor, digits).alias("v")).agg(F.count(F.lit(1)).alias("c"))
     w = Window.partitionBy(*keys).orderBy("v")
     gap = F.least(F.col("v") - F.lag("v").over(w), F.lead("v").over(w) - F.col("v"))
     h = h.withColumn("gap", gap).where("gap IS NOT NULL")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from furrow.functions.rounding import half_away
 from furrow.operators.imputation import Level, fill_values
 from furrow.operators.slabs import containing_region, near_pairs
 from furrow.plans.crops import COUNTING_SQL, POSITION_SQL, counting_rows, label_key, stage_name, table, usable, usable_position
@@ -25,7 +26,7 @@ def _cells(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     rows = counting_rows(table(spark, d, "pineapple_crops"), "sector_id", "sector_label", "predicted_growth_stage", "flight_date", "osavi", "health_score")
     rows = stage(rows.withColumns({"sector": F.when(usable("sector_id"), F.col("sector_id")), "stage": stage_name(), "day": F.to_date("flight_date"), "label": label_key()}), "cells")
     fields = ("osavi", "health_score")  # a number in the shuffles, the name in the result
-    cell = F.explode(F.array(*[F.struct(F.lit(i).cast("byte").alias("field"), F.when(usable(f), F.round(f, DIGITS)).alias("value")) for i, f in enumerate(fields)])).alias("c")
+    cell = F.explode(F.array(*[F.struct(F.lit(i).cast("byte").alias("field"), F.when(usable(f), half_away(f, DIGITS)).alias("value")) for i, f in enumerate(fields)])).alias("c")
     cells = rows.where("sector IS NOT NULL").select("plant_id", "sector", "stage", "day", cell).select("plant_id", "sector", "stage", "day", "c.*")
     read = fill_values(cells.where("value IS NULL").drop("value"), cells, "value", READING_LEVELS).withColumn("field_name", F.when(F.col("field") == 0, fields[0]).otherwise(fields[1]))
     lost = rows.where(F.col("label").isNotNull() & (F.col("sector_id").isNull() | (F.col("sector_id") < -1))).select("plant_id", F.lit("sector_id").alias("field_name"), "label", "day")
@@ -39,7 +40,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_filled(spark: SparkSession, d: str) -> DataFrame:
-    return _cells(spark, d)[1].withColumn("value", F.round("value", 6))
+    return _cells(spark, d)[1].withColumn("value", half_away("value", 6))
 
 
 def p3_table(spark: SparkSession, d: str) -> DataFrame:

@@ -11,6 +11,7 @@ from furrow.functions import ladders
 from furrow.functions.geo import geo_hash, plant_id, sector_label
 from furrow.functions.indices import average_rank_score, blend, rescale
 from furrow.functions.nulls import finite
+from furrow.functions.rounding import half_even
 from furrow.operators.aggregates import project, sector_frames
 from furrow.operators.joins import smooth_by_neighbours
 from furrow.operators.models import archetypes, isolation_scores, outliers
@@ -41,7 +42,7 @@ def rank_health(plants: DataFrame, p: RankParams = RankParams(), with_models: bo
     rows = rows.withColumns({"_v": F.when(both, F.col("ndvi")), "_e": F.when(both, F.col("ndre"))})
     for value, out in (("_v", "ndvi_smooth"), ("_e", "ndre_smooth")):
         s = smooth_by_neighbours(rows, "plant_id", "x", "y", value, p.neighbours, p.cell, own=p.own)
-        rows = rows.join(s.select(F.col("id").alias("plant_id"), F.round("smoothed", 9).alias(out)), "plant_id", "left")
+        rows = rows.join(s.select(F.col("id").alias("plant_id"), half_even("smoothed", 9).alias(out)), "plant_id", "left")
     rows = average_rank_score(rows, "ndvi_smooth", "biomass")
     rows = average_rank_score(rows, "ndre_smooth", "nitrogen")
     anomaly, cluster, confidence = F.lit(False), F.lit(-1), F.lit(None).cast("double")
@@ -57,8 +58,8 @@ def rank_health(plants: DataFrame, p: RankParams = RankParams(), with_models: bo
     hide = lambda c: F.when(~noise, c)
     return rows.select(
         "plant_id", "sector_label", "ndvi", "ndre",
-        *[F.round(c, 3).alias(c) for c in ("ndvi_smooth", "ndre_smooth")],
-        hide(F.round(b, 1)).alias("biomass_score"), hide(F.round(n, 1)).alias("nitrogen_score"), hide(F.round(score, 1)).alias("health_score"),
+        *[half_even(c, 3).alias(c) for c in ("ndvi_smooth", "ndre_smooth")],
+        hide(half_even(b, 1)).alias("biomass_score"), hide(half_even(n, 1)).alias("nitrogen_score"), hide(half_even(score, 1)).alias("health_score"),
         tier.alias("health_status"), ladders.tier_colour(tier).alias("health_color"),
         hide(ladders.diagnosis(b, n)).alias("diagnosis"), hide(ladders.limiting_factor(b, n)).alias("limiting_factor"),
         anomaly.alias("is_anomaly"), F.when(noise, -1).otherwise(cluster).alias("archetype"), hide(confidence).alias("archetype_confidence"),
@@ -74,7 +75,7 @@ def cohort_health(plants: DataFrame, cell: float = 2.0, contamination: float = 0
     """
     rows = plants.select("plant_id", "stage", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), *[finite(c).alias(c) for c in ("osavi", "ndvi", "ndre")])
     s = smooth_by_neighbours(rows, "plant_id", "x", "y", "osavi", 8, cell, include_self=True)
-    rows = rows.join(s.select(F.col("id").alias("plant_id"), F.round("smoothed", 9).alias("osavi_smooth")), "plant_id", "left")
+    rows = rows.join(s.select(F.col("id").alias("plant_id"), half_even("smoothed", 9).alias("osavi_smooth")), "plant_id", "left")
     iso = isolation_scores(rows, "plant_id", ["osavi_smooth", "ndvi", "ndre"], "stage", least=least)
     rows = rows.join(iso.select(F.col("id").alias("plant_id"), "score"), "plant_id", "left")
     stats = rows.groupBy("stage").agg(F.percentile_approx("score", 0.5, 10_000).alias("_med"), F.stddev_pop("score").alias("_sd"), F.avg("osavi_smooth").alias("_mean"))
@@ -86,7 +87,7 @@ def cohort_health(plants: DataFrame, cell: float = 2.0, contamination: float = 0
     capped = ladders.directional_caps(blend((0.7, v), (0.3, norm)), F.col("osavi"), F.col("stage"), F.col("score") < med - 1.5 * sd, F.col("_mean"))
     final = F.when(F.col("score").isNull(), rescale("osavi", 0.2, 0.5)).otherwise(capped)
     tier = ladders.health_tier(final)
-    return rows.select("plant_id", "stage", "osavi", F.round("osavi_smooth", 3).alias("osavi_smooth"), F.round(final, 1).alias("health_score"), tier.alias("health_status"), ladders.tier_code(tier).alias("health_status_code"), ladders.tier_colour(tier).alias("health_color"))
+    return rows.select("plant_id", "stage", "osavi", half_even("osavi_smooth", 3).alias("osavi_smooth"), half_even(final, 1).alias("health_score"), tier.alias("health_status"), ladders.tier_code(tier).alias("health_status_code"), ladders.tier_colour(tier).alias("health_color"))
 
 
 def plant_ids(points: DataFrame, id_col: str = "id", sector: str = "sector", x: str = "x", y: str = "y") -> DataFrame:

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from furrow.functions import colours, indices, ladders, nulls, text
 from furrow.functions.geo import apply_affine, geo_hash, inverse, pixel_of, plant_id, sector_label, to_latlon, to_utm
+from furrow.functions.rounding import half_away
 from furrow.operators import aggregates
 from furrow.operators.models import counted_split
 from furrow.plans.base import PLANTS, POSITIONS, SAMPLES, SCENE, ZONE, Registry, plants, positions, samples
 from furrow.plans.crops import table
 
 R = Registry()
-_ROUND = lambda c, n=6: F.round(c, n)
+_ROUND = lambda c, n=6: half_away(c, n)
 
 
 @R.add(f"""SELECT sector_id, sector_label, count(*) AS total_active_plants, round(sum(kg)::DECIMAL(20,3) * 0.001::DECIMAL(4,3), 3)::DOUBLE AS predicted_biomass_tonnes
@@ -61,7 +62,7 @@ def health_tier_ladder(spark: SparkSession, d: str) -> DataFrame:
 @R.add(f"SELECT plant_id, round(area_px * 0.013458::DOUBLE * 0.013458::DOUBLE, 9) AS area, CASE WHEN canopy_area >= 0.1811 THEN 'Mature' WHEN canopy_area >= 0.1449 THEN 'Fruiting' WHEN canopy_area >= 0.1177 THEN 'Flowering' WHEN canopy_area >= 0.0815 THEN 'Vegetative' WHEN canopy_area IS NOT NULL THEN 'Seedling' END AS rule_stage FROM {PLANTS}")
 def growth_stage_ladder(spark: SparkSession, d: str) -> DataFrame:
     """Ground area and stage by rule."""
-    return plants(spark, d).select("plant_id", F.round(indices.ground_area("area_px"), 9).alias("area"), ladders.growth_stage("canopy_area").alias("rule_stage"))
+    return plants(spark, d).select("plant_id", half_away(indices.ground_area("area_px"), 9).alias("area"), ladders.growth_stage("canopy_area").alias("rule_stage"))
 
 
 _RANK = "(rank() OVER (ORDER BY {0}) + (count(*) OVER (PARTITION BY {0}) - 1) / 2.0::DOUBLE) / count(*) OVER () * 100"
@@ -162,7 +163,7 @@ def reprojection(spark: SparkSession, d: str) -> DataFrame:
     rows = samples(spark, d)
     lat, lon = to_latlon("x", "y", ZONE)
     x, y = to_utm("lat", "lon", ZONE)
-    return rows.select("id", F.round(x, 4).alias("x"), F.round(y, 4).alias("y"), F.round(lat, 8).alias("lat"), F.round(lon, 8).alias("lon"))
+    return rows.select("id", half_away(x, 4).alias("x"), half_away(y, 4).alias("y"), half_away(lat, 8).alias("lat"), half_away(lon, 8).alias("lon"))
 
 
 _INV = inverse(SCENE)
@@ -174,10 +175,11 @@ def affine_pixels(spark: SparkSession, d: str) -> DataFrame:
     """Pixel centres to ground, ground to pixel, preview scale."""
     cx, cy = apply_affine(SCENE, "pixel_x", "pixel_y", 0.5)
     col, _ = pixel_of(SCENE, "x", "y")
-    return positions(spark, d).select("plant_id", _ROUND(cx).alias("centre_x"), _ROUND(cy).alias("centre_y"), col.alias("col"), F.round(F.col("pixel_x") * F.lit(1024 / 480000.0), 2).alias("shown_x"))
+    return positions(spark, d).select("plant_id", _ROUND(cx).alias("centre_x"), _ROUND(cy).alias("centre_y"), col.alias("col"), half_away(F.col("pixel_x") * F.lit(1024 / 480000.0), 2).alias("shown_x"))
 
 
-_STRIP = "regexp_replace(format('{{:.4f}}', round_even({0}, 4)), '(\\.\\d+?)0+$', '\\1')"
+#: fmt rounds the exact binary value, as Python's round does; a rounded product does not.
+_STRIP = "regexp_replace(format('{{:.4f}}', {0}), '(\\.\\d+?)0+$', '\\1')"
 
 
 @R.add(f"""SELECT w.plant_id, sector_label, format('PLT-{{}}-R{{:03d}}-C{{:03d}}-{{}}', CASE WHEN sector_id >= 0 THEN format('S{{:02d}}', sector_id) ELSE 'NOISE' END, coalesce(row_index, 0), coalesce(col_index, 0),
@@ -193,7 +195,7 @@ def geo_hash_id(spark: SparkSession, d: str) -> DataFrame:
 def report_formats(spark: SparkSession, d: str) -> DataFrame:
     """Durations, fixed decimals, zero as missing, first number of several columns."""
     rows = plants(spark, d)
-    return rows.select("plant_id", text.duration("area_px").alias("hms"), text.decimals(F.round("osavi", 3), 3).alias("shown"), nulls.or_default("osavi", 0.5).alias("or_default"), F.coalesce(nulls.first_number("sector_label", "stage"), F.lit(-1.0)).alias("first_number"))
+    return rows.select("plant_id", text.duration("area_px").alias("hms"), text.decimals("osavi", 3, "half_away").alias("shown"), nulls.or_default("osavi", 0.5).alias("or_default"), F.coalesce(nulls.first_number("sector_label", "stage"), F.lit(-1.0)).alias("first_number"))
 
 
 @R.add(f"""SELECT plant_id, lower(concat_ws(' ', plant_id, sector_label, 'R' || lpad(row_index::VARCHAR, 3, '0'), 'C' || lpad(col_index::VARCHAR, 3, '0'))) AS search_key FROM plants_with_ids
@@ -208,9 +210,9 @@ def viewer_search(spark: SparkSession, d: str) -> DataFrame:
   SELECT sector_label, shown, mean_score, round(shown / max(shown) OVER ()::DOUBLE, 9) AS bar FROM c""")
 def viewer_stats(spark: SparkSession, d: str) -> DataFrame:
     """Filtered counts and means by sector, with bars relative to the longest."""
-    c = plants(spark, d).where("health_score >= 40 AND stage IS NOT NULL").groupBy("sector_label").agg(F.count(F.lit(1)).alias("shown"), F.round(F.avg("health_score"), 9).alias("mean_score"))
+    c = plants(spark, d).where("health_score >= 40 AND stage IS NOT NULL").groupBy("sector_label").agg(F.count(F.lit(1)).alias("shown"), half_away(F.avg("health_score"), 9).alias("mean_score"))
     top = c.agg(F.max("shown").alias("_top"))
-    return c.crossJoin(F.broadcast(top)).select("sector_label", "shown", "mean_score", F.round(F.col("shown") / F.col("_top"), 9).alias("bar"))  # one row
+    return c.crossJoin(F.broadcast(top)).select("sector_label", "shown", "mean_score", half_away(F.col("shown") / F.col("_top"), 9).alias("bar"))  # one row
 
 
 @R.add(f"SELECT DISTINCT sector_id FROM {PLANTS} p WHERE sector_id >= 0 AND EXISTS (SELECT 1 FROM {PLANTS} q WHERE q.sector_id = p.sector_id AND q.health_score < 10)")
@@ -237,14 +239,14 @@ def conditional_counts(spark: SparkSession, d: str) -> DataFrame:
 @R.add(f"SELECT sector_id, round(avg(ndvi), 9) AS ndvi, round(avg(ndre), 9) AS ndre, round(avg(osavi), 9) AS osavi, count(ndvi) AS n FROM {PLANTS} WHERE sector_id >= 0 GROUP BY sector_id")
 def null_skipping_means(spark: SparkSession, d: str) -> DataFrame:
     """Means of several columns without nulls and NaN; none gives null."""
-    return plants(spark, d).where("sector_id >= 0").groupBy("sector_id").agg(*[F.round(F.avg(c), 9).alias(c) for c in ("ndvi", "ndre", "osavi")], F.count("ndvi").alias("n"))
+    return plants(spark, d).where("sector_id >= 0").groupBy("sector_id").agg(*[half_away(F.avg(c), 9).alias(c) for c in ("ndvi", "ndre", "osavi")], F.count("ndvi").alias("n"))
 
 
 @R.add(f"SELECT stage, median(round(osavi, 6)) AS med, quantile_cont(round(osavi, 6), 0.9) AS q90, round(CASE WHEN stddev_pop(osavi) > 0.01 THEN stddev_pop(osavi) ELSE 0.05 END, 6) AS sd FROM {PLANTS} WHERE stage IS NOT NULL AND osavi IS NOT NULL GROUP BY stage")
 def cohort_statistics(spark: SparkSession, d: str) -> DataFrame:
     """Exact median and quantile over a histogram, deviation with a floor."""
     rows = plants(spark, d).where("stage IS NOT NULL AND osavi IS NOT NULL")
-    h = rows.groupBy("stage", F.round("osavi", 6).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    h = rows.groupBy("stage", half_away("osavi", 6).alias("v")).agg(F.count(F.lit(1)).alias("c"))
     q = h.groupBy("stage").agg(F.percentile("v", [0.5, 0.9], F.col("c")).alias("q"))
     sd = rows.groupBy("stage").agg(F.stddev_pop("osavi").alias("s"))
     return q.join(sd, "stage").select("stage", F.col("q")[0].alias("med"), F.col("q")[1].alias("q90"), _ROUND(F.when(F.col("s") > 0.01, F.col("s")).otherwise(0.05)).alias("sd"))
@@ -301,7 +303,8 @@ def sunlit_mask(spark: SparkSession, d: str) -> DataFrame:
 @R.add(f"""SELECT plant_id, sector_label, round(osavi, 3) AS osavi, NULL::DOUBLE AS estimated_height, osavi IS NOT NULL AS has_index, sector_id FROM {PLANTS} ORDER BY has_index DESC, sector_label ASC NULLS LAST, plant_id""")
 def ordered_output(spark: SparkSession, d: str) -> DataFrame:
     """Preferred columns first, missing columns as nulls, rounded, sorted with nulls last (P26, P27, P28, sort)."""
-    rows = plants(spark, d).withColumn("has_index", F.col("osavi").isNotNull()).select("sector_id", "plant_id", "sector_label", F.round("osavi", 3).alias("osavi"), "has_index")
+    rows = plants(spark, d).withColumn("has_index", F.col("osavi").isNotNull()).select("sector_id", "plant_id", "sector_label", "osavi", "has_index")
+    rows = text.round_floats(rows, 3, "half_away")
     rows = text.with_null_columns(rows, {"estimated_height": "double"})
     return text.ordered_columns(rows, ["plant_id", "sector_label", "osavi", "estimated_height"]).orderBy(F.desc("has_index"), F.asc_nulls_last("sector_label"), "plant_id")
 

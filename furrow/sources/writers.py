@@ -10,6 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from furrow.functions.rounding import nearest
 from furrow.functions.text import decimals
 
 
@@ -20,7 +21,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def point_features(df: DataFrame, x: str, y: str, properties: Sequence[str], digits: int = 6) -> DataFrame:
     """(json): a GeoJSON Point feature a row, coordinates in ``digits`` decimals."""
-    geometry = F.struct(F.lit("Point").alias("type"), F.array(F.bround(x, digits), F.bround(y, digits)).alias("coordinates"))
+    geometry = F.struct(F.lit("Point").alias("type"), F.array(nearest(x, digits), nearest(y, digits)).alias("coordinates"))
     return df.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties"), geometry.alias("geometry")), {"ignoreNullFields": "false"}).alias("json"))
 
 

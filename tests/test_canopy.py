@@ -9,8 +9,7 @@ def test_every_pixel_of_the_box_counts(spark):
     boxes = "SELECT DISTINCT plant_id, bbox_x, bbox_y, bbox_width, bbox_height FROM plants_with_ids WHERE sector_label IS DISTINCT FROM 'NOISE' AND mask_file IS NOT NULL"
     con = duckdb.connect()
     con.execute(f"CREATE VIEW plants_with_ids AS FROM '{D}/plants_with_ids.parquet'; CREATE VIEW raw_index_grid AS FROM '{D}/raw_index_grid.parquet'")
-    # all pixels one by one, beside the stride sample of the registered SQL
-    every = spatial_queries.SQL["canopy_pixel_aggregate"].replace(", 8))", "))")
+    every = spatial_queries.SQL["canopy_pixel_aggregate"]  # all pixels one by one
     want = con.execute(f"SELECT plant_id, value, soil_fraction, canopy_px FROM ({every})").fetchall()
     found = [tuple(r) for r in spatial_queries.canopy_pixel_aggregate(spark, D).collect()]
     assert sorted(found) == sorted(want, key=lambda r: r[0])
