@@ -1,7 +1,8 @@
-"""Similarity clusters: hashed weighted features, distributed k-means, exact links inside and across cells."""
+"""Similarity clusters: hashed weighted features, a tree of distributed k-means, exact links inside and across cells."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furrow.operators.graph import components, contract
-from furrow.session import stage
+from furrow.session import drop_staged, stage
 
 #: Entries of a block of the distance matrix, which bounds a worker's memory.
 BLOCK = 1_000_000
@@ -79,137 +80,271 @@ def nearest(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return idx, d2
 
 
-@dataclass(frozen=True)
-class KMeans:
-    """A fitted model: the centroids (at most ``max_k``, so it is small enough to ship to every task)."""
+def weighted_seeding(x: np.ndarray, w: np.ndarray, k: int, seed: int, steps: int = 5) -> np.ndarray:
+    """k-means++ over weighted points, then weighted Lloyd steps, in memory; at most k centroids."""
+    rng = np.random.default_rng(seed)
+    chosen = [int(rng.choice(len(x), p=w / w.sum()))]
+    d2 = ((x - x[chosen[0]]) ** 2).sum(1)
+    while len(chosen) < k and (p := w * d2).sum() > 0:
+        chosen.append(int(rng.choice(len(x), p=p / p.sum())))
+        d2 = np.minimum(d2, ((x - x[chosen[-1]]) ** 2).sum(1))
+    c = x[chosen]
+    for _ in range(steps):
+        idx, _ = nearest(x, c)
+        m = np.bincount(idx, weights=w, minlength=len(c))
+        c = np.stack([np.bincount(idx, weights=w * x[:, j], minlength=len(c)) for j in range(x.shape[1])], 1)[m > 0] / m[m > 0, None]
+    return c
+
 
-    features: Features
-    centroids: np.ndarray
-    rows: int
+class Tree:
+    """Centroids in levels: a node has at most ``branch`` children, so a row is compared with branch * depth of them.
 
+    A leaf is a cell; ``rows`` counts what each cell holds. The tree has about 2 * rows / leaf_rows centroids, which
+    is what every task gets: ``size`` numbers, and fit_tree refuses to grow it beyond ``most_numbers``.
+    """
 
-def fit_kmeans(df: DataFrame, features: Features, rows_per_cell: int = 4000, max_k: int = 2048, rounds: int = 3, iterations: int = 3, seed: int = 7) -> KMeans:
-    """Distributed k-means over all rows of ``df``, seeded in parallel by oversampling (k-means||).
+    def __init__(self, features: Features, rows: int):
+        self.features, self.centroids, self.first = features, [], []  # by inner node: centroids, and the cell of the first child
+        self.inner, self.rows, self.centre = [-1], np.array([rows], dtype=np.int64), [np.zeros(features.dims)]  # by cell
 
-    k = rows / rows_per_cell, at most max_k. Each seeding round takes every row with probability
-    k/2 * d^2 / (sum of d^2); the roughly 2k candidates are weighted by the rows nearest to them
-    and reduced to k by weighted k-means++ on the driver. Then ``iterations`` Lloyd steps follow.
-    What reaches the driver is bounded by max_k: candidates, and one sum a centroid. The draw
-    is a hash of the row's vector, so a rerun of a task takes the same rows, and copies of a row
-    count once among the candidates. No rows: a model without centroids.
+    @property
+    def size(self) -> int:
+        return sum(c.size for c in self.centroids)
+
+    def leaves(self) -> np.ndarray:
+        return np.flatnonzero(np.array(self.inner) < 0)
+
+    def split(self, cell: int, centroids: np.ndarray, rows: np.ndarray) -> None:
+        self.inner[cell] = len(self.centroids)
+        self.centroids.append(centroids)
+        self.first.append(len(self.inner))
+        self.inner += [-1] * len(centroids)
+        self.centre += list(centroids)
+        self.rows = np.r_[self.rows, rows.astype(np.int64)]
+
+    def locate(self, x: np.ndarray, margin: float | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, cell, home): the leaf of each row, by the nearest child at each level.
+
+        With a margin every child that is at most ``margin`` farther than the nearest is followed too; home marks the row's own leaf.
+        """
+        row, cell, home = np.arange(len(x)), np.zeros(len(x), np.int64), np.ones(len(x), bool)
+        inner, done = np.array(self.inner), []
+        while len(row):
+            leaf = inner[cell] < 0
+            done.append((row[leaf], cell[leaf], home[leaf]))
+            row, cell, home = row[~leaf], cell[~leaf], home[~leaf]
+            order = np.argsort(cell, kind="stable")
+            row, cell, home = row[order], cell[order], home[order]
+            cut = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.empty(0, np.int64)
+            nxt = []
+            for a, b in zip(cut, np.r_[cut[1:], len(cell)]):
+                node = inner[cell[a]]
+                c, start = self.centroids[node], self.first[node]
+                for lo, hi, d2 in squared_distances(x[row[a:b]], c):
+                    r, h, own = row[a + lo : a + hi], home[a + lo : a + hi], d2.argmin(1)
+                    if margin is None:
+                        nxt.append((r, start + own, h))
+                    else:
+                        d = np.sqrt(d2)
+                        i, j = np.nonzero(d <= d[np.arange(len(d)), own][:, None] + margin)
+                        nxt.append((r[i], start + j, h[i] & (j == own[i])))
+            row, cell, home = (np.concatenate(z) for z in zip(*nxt)) if nxt else (row, cell, home)
+        return tuple(np.concatenate(z) for z in zip(*done)) if done else (row, cell, home)
+
+    def cells(self, x: np.ndarray) -> np.ndarray:
+        row, cell, _ = self.locate(x)
+        out = np.empty(len(x), np.int64)
+        out[row] = cell
+        return out
+
+
+def weighted_points(df: DataFrame, features: Features, resolution: dict[str, float]) -> DataFrame:
+    """The rows pre-aggregated before any pass of k-means: one point, their mean, and its weight ``_w``, for all rows
+    of equal categories and equal squares of the resolution. All rows count; a spot with a third of them is one point."""
+    safe = {c: F.when(F.abs(F.col(c).cast("double")) < float("inf"), F.col(c).cast("double")) for c in features.numeric}
+    keys = [F.floor(x / F.lit(resolution[c])).alias(f"_b{i}") for i, (c, x) in enumerate(safe.items())]
+    return df.groupBy(*features.category, *keys).agg(F.count(F.lit(1)).alias("_w"), *[F.avg(x).alias(c) for c, x in safe.items()]).drop(*[f"_b{i}" for i in range(len(keys))])
+
+
+def fit_tree(df: DataFrame, features: Features, resolution: dict[str, float], leaf_rows: int = 100_000, branch: int = 32, rounds: int = 2, iterations: int = 3, seed: int = 7, most_numbers: int = 50_000_000) -> Tree:
+    """Distributed k-means in levels over all rows of ``df``, each level seeded in parallel by oversampling (k-means||).
+
+    Every cell of more than ``leaf_rows`` rows is split into k = min(branch, 2 * rows / leaf_rows) cells, all cells of
+    a level at once: ``rounds`` draws take each point with probability k * w * d^2 / (the cell's sum of w * d^2), the
+    drawn points are weighted by the rows nearest to them and reduced to k by weighted k-means++ on the driver, and
+    ``iterations`` Lloyd steps follow. So the cost a row is that of branch * depth distances, at any size.
+    The passes read weighted_points, in which all rows count. A draw is a hash of the point, so a rerun of
+    a task takes the same. Cells whose points are all at one place stay whole. No rows: one empty cell.
     """
     columns = [*features.numeric, *features.category]
-    df = df.select(*columns)
-    safe = {c: F.when(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) & (F.abs(F.col(c).cast("double")) < float("inf")), F.col(c).cast("double")) for c in features.numeric}
-    first = df.agg(F.count(F.lit(1)).alias("n"), *[((F.min(x) + F.max(x)) / 2).alias(c) for c, x in safe.items()]).first()
-    if not first["n"]:
-        return KMeans(features, np.zeros((0, features.dims)), 0)
+    points = stage(weighted_points(df.select(*columns), features, resolution), "points")
+    first = points.agg(F.sum("_w").alias("n"), *[((F.min(c) + F.max(c)) / 2).alias(c) for c in features.numeric]).first()
     features = Features(features.numeric, features.category, features.buckets, {c: first[c] or 0.0 for c in features.numeric})
-    n, d = first["n"], features.dims
-    k = int(min(max_k, max(1, -(-n // rows_per_cell))))
+    tree = Tree(features, first["n"] or 0)
+    d = features.dims
     names = [f"v{j}" for j in range(d)]
     schema = ", ".join(f"{x} double" for x in names)
 
-    def cost(candidates: np.ndarray) -> float:
+    def by_cell(it, open_: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        for pdf in it:
+            x = features.vectors(pdf)
+            cell, w = tree.cells(x), pdf["_w"].to_numpy(dtype=float)
+            for c in np.intersect1d(cell, open_):
+                at = cell == c
+                yield int(c), x[at], w[at]
+
+    def cost(candidates: dict[int, np.ndarray]) -> dict[int, float]:
+        open_ = np.array(list(candidates))
+
         def f(it):
-            total = 0.0
-            for pdf in it:
-                total += nearest(features.vectors(pdf), candidates)[1].sum()
-            yield pd.DataFrame({"d2": [total]})
+            total: dict[int, float] = {}
+            for c, x, w in by_cell(it, open_):
+                total[c] = total.get(c, 0.0) + float((w * nearest(x, candidates[c])[1]).sum())
+            yield pd.DataFrame({"cell": list(total), "d2": list(total.values())}).astype({"cell": "int64", "d2": "float64"})
 
-        return df.mapInPandas(f, "d2 double").agg(F.sum("d2")).first()[0] or 0.0
+        return {r["cell"]: r["d2"] for r in points.mapInPandas(f, "cell long, d2 double").groupBy("cell").agg(F.sum("d2").alias("d2")).collect()}
+
+    def draw(candidates: dict[int, np.ndarray], phi: dict[int, float], k: dict[int, int], no: int) -> dict[int, np.ndarray]:
+        open_ = np.array(list(candidates))
 
-    def draw(candidates: np.ndarray, phi: float, no: int):
         def f(it):
-            for pdf in it:
-                x = features.vectors(pdf)
-                d2 = nearest(x, candidates)[1]
+            for c, x, w in by_cell(it, open_):
                 h = np.full(len(x), seed * 1000 + no, dtype=np.uint64)
                 for col in np.ascontiguousarray(x).view(np.uint64).T:
                     h = mix64(h ^ col)
                 u = (h >> np.uint64(11)).astype(float) / 2.0**53
-                yield pd.DataFrame(x[u * phi < max(1.0, k / 2) * d2], columns=names)
+                took = x[u * phi[c] < k[c] * w * nearest(x, candidates[c])[1]]
+                yield pd.DataFrame(took, columns=names).assign(cell=c)[["cell", *names]]
 
-        return np.array([list(r) for r in df.mapInPandas(f, schema).distinct().collect()]).reshape(-1, d)
+        got = points.mapInPandas(f, f"cell long, {schema}").distinct().toPandas().sort_values(["cell", *names])
+        return {int(c): np.concatenate([candidates[int(c)], g[names].to_numpy()]) for c, g in got.groupby("cell")} if len(got) else {}
+
+    def sums(centres: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        open_ = np.array(list(centres))
 
-    candidates = features.vectors(pd.DataFrame([r.asDict() for r in df.limit(1).collect()]))
-    if k > 1:
-        for no in range(rounds):
-            phi = cost(candidates) if no == 0 else phi_next
-            if phi <= 0:
-                break
-            new = draw(candidates, phi, no)
-            candidates = np.concatenate([candidates, new[np.lexsort(new.T)]])
-            phi_next = cost(candidates) if no + 1 < rounds else 0.0
-
-    def sums(centres: np.ndarray) -> pd.DataFrame:
         def f(it):
-            s, w = np.zeros((len(centres), d)), np.zeros(len(centres))
-            for pdf in it:
-                x = features.vectors(pdf)
-                idx, _ = nearest(x, centres)
-                w += np.bincount(idx, minlength=len(centres))
+            s, w_ = {c: np.zeros(m.shape) for c, m in centres.items()}, {c: np.zeros(len(m)) for c, m in centres.items()}
+            for c, x, w in by_cell(it, open_):
+                idx, _ = nearest(x, centres[c])
+                w_[c] += np.bincount(idx, weights=w, minlength=len(w_[c]))
                 for j in range(d):
-                    s[:, j] += np.bincount(idx, weights=x[:, j], minlength=len(centres))
-            keep = np.flatnonzero(w)
-            yield pd.DataFrame({"i": keep, "w": w[keep], **{names[j]: s[keep, j] for j in range(d)}})
-
-        got = df.mapInPandas(f, f"i long, w double, {schema}").groupBy("i").agg(F.sum("w").alias("w"), *[F.sum(x).alias(x) for x in names])
-        return got.toPandas().sort_values("i")
-
-    if len(candidates) > k:
-        t = sums(candidates)
-        mean = t[names].to_numpy() / t[["w"]].to_numpy()
-        centres = weighted_seeding(mean, t["w"].to_numpy(), k, seed)
-    else:
-        centres = candidates
-    for _ in range(iterations):
-        t = sums(centres)
-        centres = t[names].to_numpy() / t[["w"]].to_numpy()
-    return KMeans(features, centres, n)
-
-
-def weighted_seeding(x: np.ndarray, w: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """k-means++ over weighted points, then five weighted Lloyd steps; in memory, for the candidates."""
-    rng = np.random.default_rng(seed)
-    chosen = [int(rng.choice(len(x), p=w / w.sum()))]
-    d2 = ((x - x[chosen[0]]) ** 2).sum(1)
-    while len(chosen) < k and (p := w * d2).sum() > 0:
-        chosen.append(int(rng.choice(len(x), p=p / p.sum())))
-        d2 = np.minimum(d2, ((x - x[chosen[-1]]) ** 2).sum(1))
-    c = x[chosen]
-    for _ in range(5):
-        idx, _ = nearest(x, c)
-        m = np.bincount(idx, weights=w, minlength=len(c))
-        c = np.stack([np.bincount(idx, weights=w * x[:, j], minlength=len(c)) for j in range(x.shape[1])], 1)[m > 0] / m[m > 0, None]
-    return c
-
-
-def typical_members(df: DataFrame, id_col: str, model: KMeans, members: int = 3) -> DataFrame:
-    """(cluster, size, members): each cluster's size and the ids of its ``members`` rows nearest to the centroid.
+                    s[c][:, j] += np.bincount(idx, weights=w * x[:, j], minlength=len(w_[c]))
+            for c in centres:
+                keep = np.flatnonzero(w_[c])
+                yield pd.DataFrame({"cell": c, "i": keep, "w": w_[c][keep], **{names[j]: s[c][keep, j] for j in range(d)}})
+
+        got = points.mapInPandas(f, f"cell long, i long, w double, {schema}").groupBy("cell", "i").agg(F.sum("w").alias("w"), *[F.sum(x).alias(x) for x in names])
+        out = {}
+        for c, g in got.toPandas().sort_values(["cell", "i"]).groupby("cell"):
+            w = g["w"].to_numpy()
+            out[int(c)] = g[names].to_numpy() / w[:, None], w, g["i"].to_numpy()
+        return out
 
-    Ties in distance go to the smaller id. Each task keeps its nearest few rows a cluster, so a
-    cluster of any size sends a few rows a task. Ids compare as strings; rows with a null id count
-    in the size and are never named.
+    whole: set[int] = set()
+    while todo := [int(c) for c in tree.leaves() if tree.rows[c] > leaf_rows and c not in whole]:
+        k = {c: int(min(branch, -(-2 * tree.rows[c] // leaf_rows))) for c in todo}
+        if tree.size + sum(k.values()) * d > most_numbers:
+            raise ValueError("the tree of centroids would outgrow what can be sent to every task: raise leaf_rows")
+        candidates = {c: tree.centre[c][None, :] for c in todo}
+        for no in range(rounds):
+            phi = cost(candidates)
+            candidates |= draw({c: candidates[c] for c in todo if phi.get(c, 0.0) > 0}, phi, k, no) if any(v > 0 for v in phi.values()) else {}
+        weights = sums(candidates)
+        centres = {c: weighted_seeding(m, w, k[c], seed) for c, (m, w, _) in weights.items() if len(m) > 1}
+        for _ in range(iterations - 1):
+            centres = {c: m for c, (m, _, _) in sums(centres).items()} if centres else {}
+        last = sums(centres) if centres else {}  # only counts what the final centroids hold
+        for c in todo:
+            if c in last and len(last[c][1]) > 1:
+                tree.split(c, centres[c][last[c][2]], last[c][1])
+            else:
+                whole.add(c)
+    drop_staged(points)
+    return tree
+
+
+def _local_clusters(x: np.ndarray, target: int, branch: int, seed: int) -> np.ndarray:
+    """A cluster number for each row: k-means splits of at most ``branch`` parts until a part has at most ``target`` rows or one place."""
+    label, todo, made = np.zeros(len(x), np.int64), [np.arange(len(x))], 0
+    while todo:
+        at = todo.pop()
+        k = int(min(branch, -(-len(at) // target)))
+        idx = np.zeros(len(at), np.int64)
+        if k > 1:
+            sample = at if len(at) <= 64 * k else at[np.argsort(mix64(at.astype(np.uint64)), kind="stable")[: 64 * k]]  # seeds; every row is then assigned
+            c = weighted_seeding(x[sample], np.ones(len(sample)), k, seed, 2)
+            idx, _ = nearest(x[at], c)
+        parts = [at[idx == i] for i in np.unique(idx)]
+        if len(parts) == 1:
+            label[at] = made
+            made += 1
+        else:
+            todo += parts
+    return label
+
+
+def similarity_clusters(df: DataFrame, id_col: str, tree: Tree, target: int = 50, members: int = 3, branch: int = 16, leaf_rows: int = 100_000) -> DataFrame:
+    """(cluster, size, members, spread): clusters of about ``target`` mutually similar rows, with the ids nearest to each centroid.
+
+    Rows meet by the tree's cell and are clustered inside it; a cell that holds more than ``leaf_rows`` (many rows at one place) is
+    dealt by a hash of the id to as many tasks as it needs, whose clusters stand side by side. Ties in distance go to the
+    smaller id, which compares as text. spread is the root mean square distance to the centroid. Rows with a null id
+    count in the size and are never named; missing numbers and categories count as Features says.
     """
-    columns = list(dict.fromkeys([*model.features.numeric, *model.features.category]))
+    f = tree.features
+    columns = list(dict.fromkeys([*f.numeric, *f.category]))
+    parts = np.maximum(1, -(-tree.rows // leaf_rows))
 
-    def f(it):
-        best, size = pd.DataFrame({"cluster": [], "d2": [], "id": []}), np.zeros(len(model.centroids))
+    def place(it):
         for pdf in it:
-            idx, d2 = nearest(model.features.vectors(pdf), model.centroids)
-            size += np.bincount(idx, minlength=len(size))
-            own = pd.DataFrame({"cluster": idx, "d2": np.round(d2, 6), "id": pdf["_id"]})
-            best = pd.concat([best, own[own["id"].notna()]]).sort_values(["cluster", "d2", "id"]).groupby("cluster").head(members)
-        keep = np.flatnonzero(size)
-        yield pd.concat([best.assign(size=0), pd.DataFrame({"cluster": keep, "d2": np.nan, "id": None, "size": size[keep]})]).astype({"cluster": "int64", "size": "int64", "d2": "float64"})[["cluster", "d2", "id", "size"]]
+            cell = tree.cells(f.vectors(pdf))
+            yield pdf.assign(_cell=cell, _part=pdf["_h"].to_numpy() % parts[cell]).drop(columns="_h")
+
+    def cluster(key, pdf):
+        pdf = pdf.sort_values([*columns, "_id"], kind="stable", na_position="last").reset_index(drop=True)
+        x = f.vectors(pdf)
+        lab = _local_clusters(x, target, branch, 7)
+        n = np.bincount(lab)
+        c = np.stack([np.bincount(lab, weights=x[:, j]) for j in range(x.shape[1])], 1) / n[:, None]
+        d2 = ((x - c[lab]) ** 2).sum(1)
+        near = pd.DataFrame({"lab": lab, "d2": np.round(d2, 6), "id": pdf["_id"]}).dropna(subset=["id"]).sort_values(["lab", "d2", "id"], kind="stable").groupby("lab")["id"].apply(lambda g: list(g.head(members)))
+        names = [near.get(i, []) for i in range(len(n))]
+        return pd.DataFrame({"cluster": [f"{key[0]}-{key[1]}-{i}" for i in range(len(n))], "size": n, "members": names, "spread": np.sqrt(np.bincount(lab, weights=d2) / n)})
+
+    rows = df.select(F.col(id_col).cast("string").alias("_id"), *columns)
+    rows = rows.withColumn("_h", F.pmod(F.xxhash64("_id"), F.lit(1 << 40)))
+    kinds = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in rows.drop("_h").schema.fields)
+    return rows.mapInPandas(place, f"{kinds}, _cell long, _part long").groupBy("_cell", "_part").applyInPandas(cluster, "cluster string, size long, members array<string>, spread double")
+
+
+def typical_members(df: DataFrame, cluster: str, id_col: str, x_col: str, y_col: str, keep: list[str], members: int = 3) -> DataFrame:
+    """(cluster, keep..., size, cx, cy, typical_1, ...): each cluster's size, centroid and the ids of its rows nearest to the centroid.
+
+    Sizes and means combine before the shuffle; each task then keeps the nearest few rows a cluster, streaming, so a cluster of any
+    size sends a few rows a task. Ties in distance (rounded to micrometres) go to the smaller id. ``keep`` columns
+    must be equal within a cluster; missing members are null.
+    """
+    rows = df.select(F.col(cluster).alias("cluster"), F.col(id_col).alias("id"), F.col(x_col).alias("x"), F.col(y_col).alias("y"), *keep)
+    centre = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.avg("x").alias("cx"), F.avg("y").alias("cy"), *[F.min(c).alias(c) for c in keep])
+    centre = stage(centre, "centres")
+    dx, dy = F.col("x") - F.col("cx"), F.col("y") - F.col("cy")
+    far = rows.select("cluster", "id", "x", "y").join(centre.select("cluster", "cx", "cy"), "cluster").select("cluster", F.round(F.sqrt(dx * dx + dy * dy), 6).alias("d"), "id")
+
+    def nearest_rows(it):
+        held = None
+        for pdf in it:
+            both = pdf if held is None else pd.concat([held, pdf])
+            held = both.sort_values(["cluster", "d", "id"], kind="stable").groupby("cluster", sort=False).head(members)
+            if len(held) > 500_000:  # many small clusters: pass them on, the aggregate meets them again
+                yield held
+                held = None
+        if held is not None:
+            yield held
 
-    if not len(model.centroids):
-        return df.sparkSession.createDataFrame([], "cluster long, size long, members array<string>")
-    part = df.select(F.col(id_col).cast("string").alias("_id"), *columns).mapInPandas(f, "cluster long, d2 double, id string, size long")
-    # at most ``members`` rows a cluster and task reach this aggregate
-    near = F.slice(F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("d2", "id")))), 1, members)
-    return part.groupBy("cluster").agg(F.sum("size").alias("size"), near.getField("id").alias("members"))
+    few = far.mapInPandas(nearest_rows, far.schema)
+    best = F.slice(F.array_sort(F.collect_list(F.struct("d", "id"))), 1, members)  # at most ``members`` rows a cluster and flush
+    named = few.groupBy("cluster").agg(best.getField("id").alias("m"))
+    return centre.join(named, "cluster").select("cluster", *keep, "size", "cx", "cy", *[F.get("m", F.lit(i)).alias(f"typical_{i + 1}") for i in range(members)])
 
 
 def close_pairs(code: np.ndarray, x: np.ndarray, y: np.ndarray, radius: float):
@@ -246,8 +381,8 @@ def close_pairs(code: np.ndarray, x: np.ndarray, y: np.ndarray, radius: float):
 
 
 def link_rows(pdf: pd.DataFrame, radius: float) -> pd.DataFrame:
-    """Label each row of a cell by the smallest id of its component. Columns: id, code, x, y."""
-    pdf = pdf.drop_duplicates("id").sort_values("id", kind="stable")
+    """Label each row of a cell by the smallest id of its component. Columns: id, code, x, y, home, shared."""
+    pdf = pdf.sort_values(["id", "home"], ascending=[True, False], kind="stable").drop_duplicates("id")
     code = pd.factorize(pdf["code"])[0]
     spot, spot_of = np.unique(np.stack([code.astype(float), pdf["x"].to_numpy(), pdf["y"].to_numpy()], 1), axis=0, return_inverse=True)
     spot_of = spot_of.ravel()
@@ -262,56 +397,81 @@ def link_rows(pdf: pd.DataFrame, radius: float) -> pd.DataFrame:
     return pd.DataFrame({"id": ids, "home": pdf["home"].to_numpy(), "shared": pdf["shared"].to_numpy(), "label": ids[first[comp]]})
 
 
-def linked_patches(df: DataFrame, id_col: str, x_col: str, y_col: str, group_col: str, radius: float, least: int, model: KMeans, max_cell_rows: int = 500_000) -> DataFrame:
+def _squares(x: np.ndarray, y: np.ndarray, side: float, radius: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, sx, sy, home) for each square of the grid that the radius around a point meets."""
+    own = np.floor(x / side).astype(np.int64), np.floor(y / side).astype(np.int64)
+    out = [(np.arange(len(x)), own[0], own[1], np.ones(len(x), bool))]
+    for i in (-1, 0, 1):
+        for j in (-1, 0, 1):
+            if i or j:
+                sx, sy = np.floor((x + i * radius) / side).astype(np.int64), np.floor((y + j * radius) / side).astype(np.int64)
+                at = np.flatnonzero(((sx != own[0]) == bool(i)) & ((sy != own[1]) == bool(j)))
+                out.append((at, sx[at], sy[at], np.zeros(len(at), bool)))
+    return tuple(np.concatenate(z) for z in zip(*out))
+
+
+def linked_patches(df: DataFrame, id_col: str, x_col: str, y_col: str, group_col: str, radius: float, least: int, tree: Tree, max_cell_rows: int = 200_000) -> DataFrame:
     """(patch, id): every member of each patch of at least ``least`` records, named by its smallest id.
 
     Two records link if their group is equal and they are at most ``radius`` apart; a patch is
-    what is linked directly or through others. The k-means cells of ``model`` (whose features must
-    be these x, y with weight 1 and the group) are the blocks: a record belongs to the cell of its
-    nearest centroid and, if another centroid is at most 2 * radius farther, to that cell
-    as well. By the triangle inequality both ends of a link then meet in a cell, so no link is
-    lost. Cells above ``max_cell_rows`` rows are cut into strips along x that overlap by the radius.
-    Cells link locally; labels that share a record are joined by rounds of star contraction. Copies
-    of one position count as one vertex while linking.
+    what is linked directly or through others. The k-means cells of ``tree`` (whose features must be these x, y with
+    weight 1 and the group) are the candidate clusters: a record goes to its own cell and to each that it would reach by children at
+    most 2 * radius farther than the nearest. By the triangle inequality both ends of a link then
+    meet in a cell, so no link is lost. Cells link locally; labels that share a record are joined by star contraction.
+
+    A cell of more than ``max_cell_rows`` rows, by its own count, is cut into squares along x and y that overlap by the radius, and
+    records at one place in it become one before they are shuffled. A square that still has too many places is dealt to
+    parts that meet in pairs. So no task sees more than about 2 * max_cell_rows records, and no link is lost.
 
     Rows with the same id are repeats of one row and count once. Rows with a null id, a null or non-finite x or y or a null group belong to no patch.
     """
-    spark = df.sparkSession
-    if not len(model.centroids):
-        return spark.createDataFrame([], "patch string, id string")
-    f, centres = model.features, model.centroids
+    f = tree.features
     base = df.select(F.col(id_col).cast("string").alias("id"), F.col(x_col).cast("double").alias(x_col), F.col(y_col).cast("double").alias(y_col), group_col)
     base = base.where(F.col("id").isNotNull() & (F.abs(x_col) < float("inf")) & (F.abs(y_col) < float("inf")) & F.col(group_col).isNotNull())
-    strips = max(1, -(-model.rows // (len(centres) * max_cell_rows)))
-    width = max(4 * radius, np.ptp(centres[:, 0]) / max(1, len(centres)) / strips) if strips > 1 else None
+    hot = np.array([c for c in tree.leaves() if tree.rows[c] > max_cell_rows], dtype=np.int64)
+    side = 4 * radius
 
     def assign(it):
         for pdf in it:
-            rows, cells, homes = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
-            for a, b, d2 in squared_distances(f.vectors(pdf), centres):
-                d = np.sqrt(d2)
-                own = d.argmin(1)
-                r, c = np.nonzero(d <= d[np.arange(b - a), own][:, None] + 2 * radius + 1e-6)
-                rows.append(r + a)
-                cells.append(c)
-                homes.append(c == own[r])
-            r, c, h = map(np.concatenate, (rows, cells, homes))
-            strip = np.zeros(len(r), np.int64)
-            if width:
-                x = pdf[x_col].to_numpy()[r]
-                own, lo, hi = (np.floor((x + s) / width).astype(np.int64) for s in (0, -radius, radius))
-                r, c, h, strip = (np.concatenate(z) for z in ((r, r[lo < own], r[hi > own]), (c, c[lo < own], c[hi > own]), (h, h[lo < own] & False, h[hi > own] & False), (own, lo[lo < own], hi[hi > own])))
-            times = np.bincount(r, minlength=len(pdf))
-            yield pd.DataFrame({"id": pdf["id"].to_numpy()[r], "code": pdf[group_col].to_numpy()[r], "x": pdf[x_col].to_numpy()[r], "y": pdf[y_col].to_numpy()[r], "cell": c, "home": h, "strip": strip, "shared": times[r] > 1})
-
-    cells = base.mapInPandas(assign, f"id string, code {df.schema[group_col].dataType.simpleString()}, x double, y double, cell long, home boolean, strip long, shared boolean")
-    linked = stage(cells.groupBy("cell", "strip").applyInPandas(lambda pdf: link_rows(pdf, radius), "id string, home boolean, shared boolean, label string"), "linked")
+            r, c, h = tree.locate(f.vectors(pdf), 2 * radius + 1e-6)
+            x, y = pdf[x_col].to_numpy(), pdf[y_col].to_numpy()
+            sx, sy = np.zeros(len(r), np.int64), np.zeros(len(r), np.int64)
+            if len(hot) and (at := np.isin(c, hot)).any():
+                i, qx, qy, own = _squares(x[r[at]], y[r[at]], side, radius + 1e-6)
+                cold = ~at
+                r, c, h, sx, sy = (np.concatenate(z) for z in ((r[cold], r[at][i]), (c[cold], c[at][i]), (h[cold], h[at][i] & own), (sx[cold], qx), (sy[cold], qy)))
+            shared = np.bincount(r, minlength=len(pdf))[r] > 1
+            yield pd.DataFrame({"id": pdf["id"].to_numpy()[r], "code": pdf[group_col].to_numpy()[r], "x": x[r], "y": y[r], "cell": c, "sx": sx, "sy": sy, "home": h, "shared": shared})
+
+    kind = df.schema[group_col].dataType.simpleString()
+    cells = base.mapInPandas(assign, f"id string, code {kind}, x double, y double, cell long, sx long, sy long, home boolean, shared boolean")
+    linked_schema = "id string, home boolean, shared boolean, label string"
+    link = lambda pdf: link_rows(pdf, radius)
+    copies = None
+    if not len(hot):
+        linked = stage(cells.groupBy("cell").applyInPandas(link, linked_schema), "linked")
+    else:
+        cells = stage(cells, "cells")
+        is_hot = F.col("cell").isin(*hot.tolist())
+        where = ["cell", "sx", "sy"]
+        spots = stage(cells.where(is_hot).groupBy("code", "x", "y", *where).agg(F.min("id").alias("id"), F.max("home").alias("home"), F.max("shared").alias("shared")), "spots")
+        crowd = spots.groupBy(*where).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_cell_rows).withColumn("parts", F.ceil(F.col("n") / max_cell_rows)).drop("n")
+        dealt = spots.join(crowd, where, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+        dealt = dealt.withColumn("_p", F.pmod(F.xxhash64("id"), "parts")).withColumn("_q", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+        dealt = dealt.withColumns({"lo": F.least("_p", "_q"), "hi": F.greatest("_p", "_q"), "home": F.col("home") & (F.col("_p") == F.col("_q")), "shared": F.col("shared") | (F.col("parts") > 1)})
+        many = dealt.groupBy(*where, "lo", "hi").applyInPandas(link, linked_schema)
+        linked = stage(cells.where(~is_hot).groupBy("cell").applyInPandas(link, linked_schema).unionByName(many), "linked")
+        # the other records of a place follow the one that stood for them
+        stood = spots.where("home").select("code", "x", "y", F.col("id").alias("rep"))
+        copies = cells.where(is_hot & F.col("home")).join(stood, ["code", "x", "y"]).where("id <> rep").select("id", "rep").distinct()
+        copies = stage(copies.join(linked.where("home").select(F.col("id").alias("rep"), "label"), "rep").select("id", "label"), "copies")
     # a record in several cells ties their labels together: edges from the smallest to the others
     ties = linked.where("shared").groupBy("id").agg(F.collect_set("label").alias("labels")).where(F.size("labels") > 1)
-    edges = ties.select(F.array_min("labels").alias("v"), F.explode("labels").alias("u")).where("u != v").distinct()
-    roots = contract(edges)
-    labels = linked.where("home").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    roots = contract(ties.select(F.array_min("labels").alias("v"), F.explode("labels").alias("u")).where("u != v").distinct())
+    members = linked.where("home").select("id", "label")
+    members = members if copies is None else members.unionByName(copies)
+    labels = members.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     labels = labels.join(roots, labels.label == roots.node, "left").select("label", "n", F.coalesce("root", "label").alias("root"))
     large = labels.groupBy("root").agg(F.sum("n").alias("size")).where(F.col("size") >= least).select(F.col("root").alias("patch"))
     named = labels.join(large, labels.root == large.patch).select("label", "patch")
-    return linked.where("home").join(named, "label").select("patch", "id")
+    return members.join(named, "label").select("patch", "id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm.clusters import Features, KMeans, fit_kmeans, linked_patches, typical_members
+from furrow.llm.clusters import Features, Tree, fit_tree, linked_patches, similarity_clusters, typical_members
 from furrow.llm.digests import build_digests, certify, merge_digests, quantiles
 from furrow.llm.lookalikes import look_alike_classes, look_alike_pairs
 from furrow.llm.mixing import Mix, mix
@@ -23,15 +23,19 @@ DIGEST = 400.0
 SECTOR_WEIGHT = 25.0
 
 
-def _plants(spark: SparkSession, d: str) -> tuple[DataFrame, KMeans]:
+#: Squares in metres by which rows are pre-aggregated for k-means.
+RESOLUTION = 8.0
+
+
+def _plants(spark: SparkSession, d: str) -> tuple[DataFrame, Tree]:
     rows = counting_rows(table(spark, d, "pineapple_crops"), "sector_id", "geo_x", "geo_y").where(usable_position() & usable("sector_id"))
     rows = stage(rows, "plants")
-    return rows, fit_kmeans(rows, Features({"geo_x": 1.0, "geo_y": 1.0}, {"sector_id": SECTOR_WEIGHT}))
+    return rows, fit_tree(rows, Features({"geo_x": 1.0, "geo_y": 1.0}, {"sector_id": SECTOR_WEIGHT}), {"geo_x": RESOLUTION, "geo_y": RESOLUTION})
 
 
 def _patches(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    rows, model = _plants(spark, d)
-    return rows, linked_patches(rows, "plant_id", "geo_x", "geo_y", "sector_id", LINK_METRES, PATCH_LEAST, model)
+    rows, tree = _plants(spark, d)
+    return rows, linked_patches(rows, "plant_id", "geo_x", "geo_y", "sector_id", LINK_METRES, PATCH_LEAST, tree)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -39,24 +43,17 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_patches(spark: SparkSession, d: str) -> DataFrame:
-    """Each patch with its size, centre and the three plants nearest to the centre."""
+    """Each patch with its size, centroid and the three plants nearest to the centroid."""
     rows, patches = _patches(spark, d)
-    patches = stage(patches, "patches")
-    at = patches.join(rows, patches.id == rows.plant_id).select("patch", "id", "sector_id", "geo_x", "geo_y")
-    centre = at.groupBy("patch").agg(F.count(F.lit(1)).alias("size"), F.first("sector_id").alias("sector_id"), F.avg("geo_x").alias("cx"), F.avg("geo_y").alias("cy"))
-    member = F.struct(F.round(F.hypot(F.col("geo_x") - F.col("cx"), F.col("geo_y") - F.col("cy")), 6).alias("d"), F.col("id"))
-    best = at.select("patch", "id", "geo_x", "geo_y").join(centre, "patch").select("patch", "size", "sector_id", "cx", "cy", member.alias("m"))
-    for i in range(3):  # the nearest, then the nearest of the rest: minima combine before the shuffle, a list of members would not
-        low = best.groupBy("patch").agg(F.min(F.when(F.lit(i == 0) | (F.col("m") > F.col(f"m{i - 1}") if i else F.lit(True)), F.col("m"))).alias(f"m{i}"))
-        best = best.join(low, "patch")
-    keys = best.groupBy("patch").agg(*[F.first(c).alias(c) for c in ("sector_id", "size", "cx", "cy")], *[F.first(f"m{i}.id").alias(f"typical_{i + 1}") for i in range(3)])
-    return keys.withColumns({"cx": F.round("cx", 4), "cy": F.round("cy", 4)})
+    at = stage(rows.join(patches, rows.plant_id == patches.id).select("patch", "plant_id", "sector_id", "geo_x", "geo_y"), "patches")
+    made = typical_members(at, "patch", "plant_id", "geo_x", "geo_y", ["sector_id"])
+    return made.withColumnRenamed("cluster", "patch").withColumns({"cx": F.round("cx", 4), "cy": F.round("cy", 4)})
 
 
 def p1_clusters(spark: SparkSession, d: str) -> DataFrame:
-    """The k-means clusters themselves: size and the three members nearest to each centroid."""
-    rows, model = _plants(spark, d)
-    return typical_members(rows, "plant_id", model)
+    """Clusters of about fifty plants by position and sector, with size, spread and the three plants nearest to each centroid."""
+    rows, tree = _plants(spark, d)
+    return similarity_clusters(rows, "plant_id", tree)
 
 
 P1_FOUND_SQL = f"""WITH RECURSIVE p AS (SELECT plant_id, sector_id, geo_x AS x, geo_y AS y, floor(geo_x / 0.8) AS cx, floor(geo_y / 0.8) AS cy
@@ -66,6 +63,10 @@ P1_FOUND_SQL = f"""WITH RECURSIVE p AS (SELECT plant_id, sector_id, geo_x AS x,
   reach AS (SELECT a AS node, a AS other FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
   roots AS (SELECT node, min(other) AS root, count(*) AS size FROM reach GROUP BY node)
 SELECT root AS plant_id_a, node AS plant_id_b FROM roots WHERE size >= 4 AND node <> root"""
+P1_PATCHES_SQL = P1_FOUND_SQL[: P1_FOUND_SQL.rindex("SELECT")] + """, m AS (SELECT root AS patch, node AS id, p.sector_id, x, y FROM roots JOIN p ON p.plant_id = node WHERE size >= 4),
+  c AS (SELECT patch, any_value(sector_id) AS sector_id, count(*) AS size, avg(x) AS cx, avg(y) AS cy FROM m GROUP BY patch),
+  t AS (SELECT m.patch, list(id ORDER BY round(sqrt((x - cx) * (x - cx) + (y - cy) * (y - cy)), 6), id) AS t FROM m JOIN c USING (patch) GROUP BY m.patch)
+SELECT patch, sector_id, size, round(cx, 4) AS cx, round(cy, 4) AS cy, t[1] AS typical_1, t[2] AS typical_2, t[3] AS typical_3 FROM c JOIN t USING (patch)"""
 
 
 def _readings(spark: SparkSession, d: str) -> DataFrame:
@@ -191,4 +192,4 @@ def p8_canonical(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_patches, p1_clusters, p2_found, p2_percentiles, p2_daily_digests, p4_found, p4_ranked, p6_found, p6_assignments, p6_fill, p7_found, p7_report, p7_manifest, p8_found, p8_canonical)}
-SQL = {"p1_found": P1_FOUND_SQL, "p2_found": P2_FOUND_SQL, "p4_found": f"SELECT sector_id, plant_id FROM ({_P4})", "p4_ranked": _P4, "p6_found": P6_FOUND_SQL, "p7_found": P7_FOUND_SQL}
+SQL = {"p1_found": P1_FOUND_SQL, "p1_patches": P1_PATCHES_SQL, "p2_found": P2_FOUND_SQL, "p4_found": f"SELECT sector_id, plant_id FROM ({_P4})", "p4_ranked": _P4, "p6_found": P6_FOUND_SQL, "p7_found": P7_FOUND_SQL}
