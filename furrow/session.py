@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,11 +28,20 @@ def get_spark(app: str = "furrow", cpus: str = "*", partitions: int = 8, memory:
     )
 
 
+_STAGED: list[tuple[SparkSession, str]] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); where it is unset, a folder of our own."""
+    """The cluster's shared folder (``spark.checkpoint.dir``).
+
+    Where it is unset a local session gets a folder of its own; on a cluster that is an error, as
+    no other machine would see the driver's folder.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not (spark.conf.get("spark.master", None) or "").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     own = tempfile.mkdtemp(prefix="furrow-")
     atexit.register(shutil.rmtree, own, True)
     spark.conf.set("spark.checkpoint.dir", own)
@@ -42,19 +52,47 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     This cuts the lineage and survives the loss of any executor. The schema is
-    passed along, so reading it needs no inference job.
+    passed along, so reading it needs no inference job. Tables live until drop_staged, the end of a
+    ``staging`` block, or the end of the process.
     """
-    path = f"{shared_dir(df.sparkSession)}/stage-{os.getpid()}/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    if not _STAGED:
+        atexit.register(release)
+    path = f"{shared_dir(spark)}/stage-{os.getpid()}/{name}-{uuid.uuid4().hex}"
+    _STAGED.append((spark, path))
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release(keep: int = 0) -> None:
+    """Delete the staged tables but the first ``keep``."""
+    while len(_STAGED) > keep:
+        spark, path = _STAGED.pop()
+        try:
+            _delete(spark, path)
+        except Exception:  # noqa: BLE001 - the session has ended: its folder goes with the process
+            pass
+
+
+@contextmanager
+def staging():
+    """All tables staged inside are deleted at the end: write or collect the result before."""
+    keep = len(_STAGED)
+    try:
+        yield
+    finally:
+        release(keep)
 
 
 def drop_staged(df: DataFrame) -> None:
     """Delete the files of a staged table that no later plan reads."""
-    jvm = df.sparkSession._jvm
     for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+        _delete(df.sparkSession, f)
 
 
 def running_total(df: DataFrame, keys: list[str], order: str, value: Column, out: str, spread: int) -> DataFrame:
