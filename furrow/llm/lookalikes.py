@@ -12,9 +12,11 @@ from pyspark.sql import types as T
 
 from furrow.session import stage
 
-# Letters of other scripts that look like Latin letters (Cyrillic, Greek, Armenian), one above the other.
-LETTERS = "аеорсухіјѕһԁԛԝѵӏАВЕЅІЈКМНОРСТУХԚԜҮӀ" + "ονιρυακϲϳΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹ" + "օոսհցզՍՕԼ"
-LATIN = "aeopcyxijshdqwvlABESIJKMHOPCTYXQWYl" + "ovipuakcjABEZHIKMNOPTYXC" + "onuhgqUOL"
+# Letters of other scripts that look like Latin letters (Cyrillic, Greek, Armenian, Cherokee), one above the other.
+LETTERS = "аеорсухіјѕһԁԛԝѵӏАВЕЅІЈКМНОРСТУХԚԜҮӀ" + "ονιρυακϲϳΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹ" + "օոսհցզՍՕԼ" + "ᎪᏴᏟᎠᎬᏀᎻᎫᏦᏞᎷᏢᏒᏚᎢᏙᎳᏃ"
+LATIN = "aeopcyxijshdqwvlABESIJKMHOPCTYXQWYl" + "ovipuakcjABEZHIKMNOPTYXC" + "onuhgqUOL" + "ABCDEGHJKLMPRSTVWZ"
+# Hyphens that look like the ordinary one, and the single-storey g.
+OTHERS = {"\u2010": "-", "\u2011": "-", "\u0261": "g"}
 # Ranges of default-ignorable characters, which a reader cannot see.
 INVISIBLE = [(0xAD, 0xAD), (0x34F, 0x34F), (0x61C, 0x61C), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180F), (0x200B, 0x200F), (0x202A, 0x202E), (0x2060, 0x206F), (0x3164, 0x3164), (0xFE00, 0xFE0F), (0xFEFF, 0xFEFF), (0xFFA0, 0xFFA0), (0xFFF0, 0xFFF8), (0xE0001, 0xE007F), (0xE0100, 0xE01EF)]
 # Ranges of spaces that are not the ordinary one; line breaks and tabs are not among them.
@@ -25,22 +27,49 @@ def _each(ranges):
     return [chr(c) for a, b in ranges for c in range(a, b + 1)]
 
 
+def _by_rule(c: str) -> str | None:
+    """What a character looks like by its decomposition or name, or None.
+
+    Width forms and letters in another type face (<wide>, <narrow>, <font>) look like what they decompose to; Roman numerals,
+    ligatures and digraphs like the letters they are made of; a Lisu letter named by one Latin letter, or by one and A, like that capital.
+    """
+    kind, _, rest = unicodedata.decomposition(c).partition(" ")
+    name = unicodedata.name(c, "")
+    if kind in ("<wide>", "<narrow>", "<font>"):
+        return unicodedata.normalize("NFKC", c)
+    if kind == "<compat>" and (name.startswith(("ROMAN NUMERAL", "SMALL ROMAN NUMERAL", "LATIN SMALL LIGATURE", "LATIN CAPITAL LIGATURE")) or (name.startswith("LATIN") and len(rest.split()) == 2 and "LETTER" in name)):
+        to = unicodedata.normalize("NFKC", c)
+        return to if to.replace("\u0301", "").isalpha() else None
+    if name.startswith("LISU LETTER ") and (letter := name[12:]) and letter.isascii() and (len(letter) == 1 or (len(letter) == 2 and letter[1] == "A")):
+        return letter[0]
+    return None
+
+
 @lru_cache
 def tables() -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
     """(one, many, coarse): characters to their look-alike, to one character or none; to several; without accents.
 
-    By rule: width forms become their compatibility form, spaces a space, invisible characters
-    nothing, look-alike letters Latin; an accented look-alike becomes the accented Latin letter. ``coarse``
-    also drops all accents and all Hangul, so that canonically equal texts get the same coarse form.
+    Fixed letters, spaces and invisible characters first, then _by_rule, then canonical decompositions: an accented
+    look-alike becomes the accented Latin letter. ``coarse`` also drops all accents and all Hangul, so that canonically
+    equal texts get the same coarse form.
+
+    Outside, because a reader sees the difference: dotless i, curly quotes, dashes longer than a hyphen, the minus sign, the ellipsis,
+    superscripts and circled letters; and look-alikes inside one script, such as l, I and 1.
     """
-    one = {c: "" for c in _each(INVISIBLE)} | {c: " " for c in _each(SPACES)} | dict(zip(LETTERS, LATIN, strict=True))
-    for c in range(0xFF01, 0xFFEF):
-        if unicodedata.decomposition(chr(c)) and chr(c) not in one and len(n := unicodedata.normalize("NFKC", chr(c))) == 1:
-            one[chr(c)] = one.get(n, n)
+    one = {c: "" for c in _each(INVISIBLE)} | {c: " " for c in _each(SPACES)} | dict(zip(LETTERS, LATIN, strict=True)) | OTHERS
     many, coarse = {}, {}
     for i in range(0x80, 0x30000):
         c = chr(i)
-        if 0x1100 <= i <= 0x11FF or 0xAC00 <= i <= 0xD7FB or 0xA960 <= i <= 0xA97C:
+        if c in one or 0xD800 <= i < 0xE000:
+            continue
+        if (to := _by_rule(c)) is not None:
+            to = unicodedata.normalize("NFC", "".join(one.get(x, x) for x in to))
+            if len(to) == 1:
+                one[c] = to
+                coarse[c] = one.get(d := unicodedata.normalize("NFD", to)[0], d)
+            elif to:
+                many[c] = to
+        elif 0x1100 <= i <= 0x11FF or 0xAC00 <= i <= 0xD7FB or 0xA960 <= i <= 0xA97C:
             coarse[c] = ""
         elif unicodedata.category(c) in ("Mn", "Mc"):
             coarse[c] = ""
@@ -52,6 +81,19 @@ def tables() -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
     return one, many, {c: coarse.get(x, x) for c, x in one.items()} | coarse
 
 
+def spelled_out(text: Column, keep_marks: bool = True) -> Column:
+    """Characters that stand for several, written as these; only texts that have one (one test by a character class) are worked on."""
+    _, many, coarse = tables()
+    bare = lambda t: "".join(c for x in unicodedata.normalize("NFD", t) if (c := coarse.get(x, x)))
+    pairs = {a: b if keep_marks else bare(b) for a, b in many.items()}
+    table = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs.items()])
+    blocks = sorted({ord(c) >> 8 for c in many})  # a few ranges match much faster than many single characters
+    ranges = [(min(m), max(m)) for m in ([ord(c) for c in many if ord(c) >> 8 == b] for b in blocks)]
+    rare = "[" + "".join(f"\\x{{{lo:X}}}-\\x{{{hi:X}}}" for lo, hi in ranges) + "]"
+    here = F.filter(table, lambda p: F.contains(text, p.getField("a")))
+    return F.when(text.rlike(rare), F.reduce(here, text, lambda acc, p: F.replace(acc, p.getField("a"), p.getField("b")))).otherwise(text)
+
+
 def _translate(text: Column, table: dict[str, str]) -> Column:
     table = {k: v for k, v in table.items() if k != v}
     order = sorted(table, key=lambda c: not table[c])  # those that vanish come last: translate drops what has no counterpart
@@ -60,18 +102,13 @@ def _translate(text: Column, table: dict[str, str]) -> Column:
 
 def plain_form(text: Column) -> Column:
     """The look-alike-mapped text; composed and combining accents are left as they are. Null stays null."""
-    one, many, _ = tables()
-    out = _translate(text, one)
-    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in many.items()])
-    blocks = sorted({ord(c) >> 8 for c in many})  # a few ranges match much faster than many single characters
-    ranges = [(min(m), max(m)) for m in ([ord(c) for c in many if ord(c) >> 8 == b] for b in blocks)]
-    rare = "[" + "".join(f"\\x{{{lo:X}}}-\\x{{{hi:X}}}" for lo, hi in ranges) + "]"
-    return F.when(out.rlike(rare), F.reduce(pairs, out, lambda acc, p: F.replace(acc, p.getField("a"), p.getField("b")))).otherwise(out)
+    return spelled_out(_translate(text, tables()[0]))
 
 
 def coarse_form(text: Column) -> Column:
     """A text without look-alikes and accents: equal for all texts that show the same, and for some others."""
-    return _translate(text, tables()[2])
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, text).otherwise(_translate(spelled_out(text, False), tables()[2]))
 
 
 @F.pandas_udf(T.StringType())
@@ -82,15 +119,15 @@ def composed(texts: pd.Series) -> pd.Series:
 def look_alike_classes(docs: DataFrame, id_col: str, text_col: str, most_broadcast: int = 500_000) -> DataFrame:
     """(id, variant, class_id, canonical_id): every record of each class with at least two different stored texts.
 
-    Two texts are in one class if they are the same once look-alikes are mapped, under the accent-sensitive
-    Unicode collation, and equal in composed form (which keeps apart what the collation ignores, such as control
-    characters). The canonical member is the shortest in bytes, then the smallest id; the class is
-    named by it.
+    Two texts are in one class if they are the same under the accent-sensitive Unicode collation once look-alikes are mapped:
+    the collation takes composed and combining accents for the same, and keeps apart case, accents, digits, spaces and line
+    breaks. Control characters, which it ignores, are kept apart by the coarse form, which is part of the key. The canonical member is the
+    shortest in bytes, then the smallest id; the class is named by it.
 
-    Three steps keep whole texts out of wide shuffles: a 64-bit fingerprint of the coarse form and
-    an MD5 of the stored text go through a narrow aggregate that finds fingerprints with several texts;
-    one record of each such text is grouped by collation in SQL; the canonical member is joined back to
-    the group and then, by MD5, to all records. Copies of a text are never gathered.
+    A 64-bit fingerprint of the coarse form and an MD5 of the stored text go through a narrow aggregate that
+    finds fingerprints with several texts. One record of each such text is then mapped and grouped in SQL; texts travel only for
+    these, and what they are distributed and joined by is the fingerprint, never the text; the collation compares texts of equal fingerprint. The
+    canonical member is joined back by the MD5 to all records. Copies of a text are never gathered.
 
     Null and empty texts and null ids are left out; repeated ids with equal text give equal rows.
     """
@@ -100,19 +137,25 @@ def look_alike_classes(docs: DataFrame, id_col: str, text_col: str, most_broadca
     rows = stage(rows, "fingerprints")
     texts = rows.groupBy("fp", "variant").agg(F.min("id").alias("first"))
     several = texts.groupBy("fp").agg(F.min("variant").alias("a"), F.max("variant").alias("b")).where("a <> b").select("fp")
-    first = stage(texts.join(several, "fp", "left_semi").select(F.col("first").alias("id"), "variant"), "candidates")
+    first = stage(texts.join(several, "fp", "left_semi").select(F.col("first").alias("id"), "variant", "fp"), "candidates")
     if first.count() <= most_broadcast:  # else the join shuffles
         first = F.broadcast(first)
-    base = docs.select(F.col(id_col).alias("id"), t.alias("text")).join(first, "id").where(F.md5(F.col("text").cast("binary")) == F.col("variant")).dropDuplicates(["id", "variant"])
-    texts = base.select("id", "variant", F.octet_length("text").alias("size"), plain_form(F.col("text")).alias("mapped"))
-    texts = stage(texts.withColumn("exact", F.md5(composed("mapped").cast("binary"))), "mapped")
+    base = docs.select(F.col(id_col).alias("id"), t.alias("text")).join(first, "id").where(F.md5(F.col("text").cast("binary")) == F.col("variant"))
+    mapped = base.select("id", "variant", "fp", F.octet_length("text").alias("size"), plain_form(F.col("text")).alias("mapped"))
+    mapped = stage(mapped, "mapped")
+    # several marks on one letter may stand in any order, which the collation leaves to normalisation
+    piled = F.col("mapped").rlike(r"\p{M}\p{M}")
+    mapped = mapped.where(~piled).unionByName(mapped.where(piled).withColumn("mapped", composed("mapped")))
+    # a text in very many spellings is grouped in 16 parts first; >= and <= is the collation's equality, but no join key
     members = spark.sql(
-        """WITH shown AS (SELECT id, variant, size, exact, collate(mapped, 'UNICODE') AS shown FROM {texts}),
-        classes AS (SELECT shown, exact, min(struct(size, id)).id AS class_id FROM shown GROUP BY shown, exact HAVING count(*) > 1)
-        SELECT t.variant, c.class_id FROM shown t JOIN classes c ON t.shown = c.shown AND t.exact = c.exact""",
-        texts=texts,
+        """WITH shown AS (SELECT id, variant, fp, size, collate(mapped, 'UNICODE') AS shown, pmod(hash(variant), 16) AS salt FROM {texts}),
+        parts AS (SELECT fp, shown, min(struct(size, id)) AS best, min(variant) AS low, max(variant) AS high
+            FROM (SELECT * FROM shown DISTRIBUTE BY fp, salt) GROUP BY fp, salt, shown),
+        classes AS (SELECT fp, shown, min(best).id AS class_id FROM (SELECT * FROM parts DISTRIBUTE BY fp) GROUP BY fp, shown HAVING min(low) <> max(high))
+        SELECT t.variant, c.class_id FROM shown t JOIN classes c ON t.fp = c.fp AND t.shown >= c.shown AND t.shown <= c.shown""",
+        texts=mapped,
     )
-    members = stage(members, "members")
+    members = stage(members.distinct(), "members")
     return rows.select("id", "variant").join(members, "variant").select("id", "variant", "class_id", F.col("class_id").alias("canonical_id"))
 
 

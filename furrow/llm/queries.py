@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from furrow.llm.clusters import Features, Tree, fit_tree, linked_patches, similarity_clusters, typical_members
 from furrow.llm.digests import build_digests, certify, merge_digests, quantiles
-from furrow.llm.lookalikes import look_alike_classes, look_alike_pairs
+from furrow.llm.lookalikes import look_alike_classes, look_alike_pairs, tables
 from furrow.llm.mixing import Mix, mix
 from furrow.llm.packing import pack
 from furrow.llm.topn import top_n
@@ -191,5 +191,23 @@ def p8_canonical(spark: SparkSession, d: str) -> DataFrame:
     return look_alike_classes(table(spark, d, "documents"), "doc_id", "text").select(F.col("id").alias("doc_id"), "class_id", F.col("canonical_id").alias("canonical_doc_id"))
 
 
+def _sql_text(t: str) -> str:
+    return t.replace("'", "''")
+
+
+def _same_sql() -> str:
+    """DuckDB: the stored texts of each class, by the composed form of the mapped text."""
+    one, many, _ = tables()
+    order = sorted(one, key=lambda c: not one[c])
+    mapped = f"translate(text, '{_sql_text(''.join(order))}', '{_sql_text(''.join(one[c] for c in order))}')"
+    for a, b in many.items():
+        mapped = f"replace({mapped}, '{a}', '{b}')"
+    return f"""t AS (SELECT doc_id, text, octet_length(encode(text)) AS size, md5(nfc_normalize(CASE WHEN octet_length(encode(text)) = length(text) THEN text ELSE {mapped} END)) AS shown FROM documents WHERE doc_id IS NOT NULL AND text <> ''),
+  k AS (SELECT shown, arg_min(doc_id, (size, doc_id)) AS class_id FROM t GROUP BY shown HAVING count(DISTINCT md5(text)) > 1)"""
+
+
+P8_FOUND_SQL = f"WITH {_same_sql()} SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM t a JOIN k USING (shown) JOIN t b ON b.shown = a.shown AND a.doc_id < b.doc_id AND a.text <> b.text"
+P8_CANONICAL_SQL = f"WITH {_same_sql()} SELECT DISTINCT doc_id, class_id, class_id AS canonical_doc_id FROM t JOIN k USING (shown)"
+
 QUERIES = {f.__name__: f for f in (p1_found, p1_patches, p1_clusters, p2_found, p2_percentiles, p2_daily_digests, p4_found, p4_ranked, p6_found, p6_assignments, p6_fill, p7_found, p7_report, p7_manifest, p8_found, p8_canonical)}
-SQL = {"p1_found": P1_FOUND_SQL, "p1_patches": P1_PATCHES_SQL, "p2_found": P2_FOUND_SQL, "p4_found": f"SELECT sector_id, plant_id FROM ({_P4})", "p4_ranked": _P4, "p6_found": P6_FOUND_SQL, "p7_found": P7_FOUND_SQL}
+SQL = {"p1_found": P1_FOUND_SQL, "p1_patches": P1_PATCHES_SQL, "p2_found": P2_FOUND_SQL, "p4_found": f"SELECT sector_id, plant_id FROM ({_P4})", "p4_ranked": _P4, "p6_found": P6_FOUND_SQL, "p7_found": P7_FOUND_SQL, "p8_found": P8_FOUND_SQL, "p8_canonical": P8_CANONICAL_SQL}
