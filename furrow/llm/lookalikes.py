@@ -81,34 +81,44 @@ def tables() -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
     return one, many, {c: coarse.get(x, x) for c, x in one.items()} | coarse
 
 
+#: A private-use character that a translation leaves where a character stands for several.
+SEVERAL = "\uf8ff"
+
+
 def spelled_out(text: Column, keep_marks: bool = True) -> Column:
-    """Characters that stand for several, written as these; only texts that have one (one test by a character class) are worked on."""
+    """Characters that stand for several, written as these."""
     _, many, coarse = tables()
     bare = lambda t: "".join(c for x in unicodedata.normalize("NFD", t) if (c := coarse.get(x, x)))
     pairs = {a: b if keep_marks else bare(b) for a, b in many.items()}
     table = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs.items()])
-    blocks = sorted({ord(c) >> 8 for c in many})  # a few ranges match much faster than many single characters
-    ranges = [(min(m), max(m)) for m in ([ord(c) for c in many if ord(c) >> 8 == b] for b in blocks)]
-    rare = "[" + "".join(f"\\x{{{lo:X}}}-\\x{{{hi:X}}}" for lo, hi in ranges) + "]"
     here = F.filter(table, lambda p: F.contains(text, p.getField("a")))
-    return F.when(text.rlike(rare), F.reduce(here, text, lambda acc, p: F.replace(acc, p.getField("a"), p.getField("b")))).otherwise(text)
+    return F.reduce(here, text, lambda acc, p: F.replace(acc, p.getField("a"), p.getField("b")))
 
 
-def _translate(text: Column, table: dict[str, str]) -> Column:
+def _translate(t: Column, table: dict[str, str]) -> Column:
     table = {k: v for k, v in table.items() if k != v}
     order = sorted(table, key=lambda c: not table[c])  # those that vanish come last: translate drops what has no counterpart
-    return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(F.translate(text, "".join(order), "".join(table[c] for c in order)))
+    return F.translate(t, "".join(order), "".join(table[c] for c in order))
+
+
+def _formed(df: DataFrame, text: str, out: str, table: dict[str, str], keep_marks: bool) -> DataFrame:
+    """``out``: the text by one translation; only texts in which it finds characters that stand for several (or SEVERAL itself)
+    are spelled out and translated again. In two projections, so that the translation runs once."""
+    t = F.col(text)
+    plain = F.octet_length(t) == F.char_length(t)
+    df = df.withColumn("_marked", F.when(plain, t).otherwise(_translate(t, table | dict.fromkeys(tables()[1], SEVERAL))))
+    again = F.contains("_marked", F.lit(SEVERAL))
+    return df.withColumn(out, F.when(again, _translate(spelled_out(t, keep_marks), table)).otherwise(F.col("_marked"))).drop("_marked")
 
 
-def plain_form(text: Column) -> Column:
+def plain_form(df: DataFrame, text: str, out: str) -> DataFrame:
     """The look-alike-mapped text; composed and combining accents are left as they are. Null stays null."""
-    return spelled_out(_translate(text, tables()[0]))
+    return _formed(df, text, out, tables()[0], True)
 
 
-def coarse_form(text: Column) -> Column:
+def coarse_form(df: DataFrame, text: str, out: str) -> DataFrame:
     """A text without look-alikes and accents: equal for all texts that show the same, and for some others."""
-    plain = F.octet_length(text) == F.char_length(text)
-    return F.when(plain, text).otherwise(_translate(spelled_out(text, False), tables()[2]))
+    return _formed(df, text, out, tables()[2], False)
 
 
 @F.pandas_udf(T.StringType())
@@ -133,7 +143,8 @@ def look_alike_classes(docs: DataFrame, id_col: str, text_col: str, most_broadca
     """
     spark = docs.sparkSession
     t = F.col(text_col)
-    rows = docs.where(F.col(id_col).isNotNull() & (F.length(t) > 0)).select(F.col(id_col).alias("id"), F.md5(t.cast("binary")).alias("variant"), F.xxhash64(coarse_form(t)).alias("fp"))
+    rows = docs.where(F.col(id_col).isNotNull() & (F.length(t) > 0)).select(F.col(id_col).alias("id"), t.alias("text"))
+    rows = coarse_form(rows, "text", "coarse").select("id", F.md5(F.col("text").cast("binary")).alias("variant"), F.xxhash64("coarse").alias("fp"))
     rows = stage(rows, "fingerprints")
     texts = rows.groupBy("fp", "variant").agg(F.min("id").alias("first"))
     several = texts.groupBy("fp").agg(F.min("variant").alias("a"), F.max("variant").alias("b")).where("a <> b").select("fp")
@@ -141,7 +152,7 @@ def look_alike_classes(docs: DataFrame, id_col: str, text_col: str, most_broadca
     if first.count() <= most_broadcast:  # else the join shuffles
         first = F.broadcast(first)
     base = docs.select(F.col(id_col).alias("id"), t.alias("text")).join(first, "id").where(F.md5(F.col("text").cast("binary")) == F.col("variant"))
-    mapped = base.select("id", "variant", "fp", F.octet_length("text").alias("size"), plain_form(F.col("text")).alias("mapped"))
+    mapped = plain_form(base, "text", "mapped").select("id", "variant", "fp", F.octet_length("text").alias("size"), "mapped")
     mapped = stage(mapped, "mapped")
     # several marks on one letter may stand in any order, which the collation leaves to normalisation
     piled = F.col("mapped").rlike(r"\p{M}\p{M}")
