@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,6 +50,16 @@ def to_latlon(x: str | Column, y: str | Column, zone: int) -> tuple[Column, Colu
     return F.degrees(phi), F.degrees(F.atan2(F.sinh(v), F.cos(u)) + _meridian(zone))
 
 
+def latlon_arrays(x: np.ndarray, y: np.ndarray, zone: int) -> tuple[np.ndarray, np.ndarray]:
+    """to_latlon of arrays, for what is worked out beside the rows, such as a raster's bounds."""
+    xi, eta = y / (K0 * _RECT), (x - FALSE_EAST) / (K0 * _RECT)
+    u = xi - sum(b * np.sin(2 * (j + 1) * xi) * np.cosh(2 * (j + 1) * eta) for j, b in enumerate(_BETA))
+    v = eta - sum(b * np.cos(2 * (j + 1) * xi) * np.sinh(2 * (j + 1) * eta) for j, b in enumerate(_BETA))
+    chi = np.arcsin(np.sin(u) / np.cosh(v))
+    phi = chi + sum(d * np.sin(2 * (j + 1) * chi) for j, d in enumerate(_DELTA))
+    return np.degrees(phi), np.degrees(np.arctan2(np.sinh(v), np.cos(u)) + _meridian(zone))
+
+
 #: An affine map (a, b, c, d, e, f): x = a*col + b*row + c, y = d*col + e*row + f.
 Affine = tuple[float, float, float, float, float, float]
 

@@ -53,8 +53,9 @@ def otsu_threshold(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
     Bins are the integers of 0..255 with centres at .5; only the histogram is sorted, never the rows.
     """
     bins = df.where((F.col(value) >= 0) & (F.col(value) < 256)).groupBy(*keys, F.floor(value).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    every = bins.select(*keys).distinct().withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(255))))
-    h = every.join(bins, [*keys, "bin"], "left").select(*keys, "bin", F.coalesce("n", F.lit(0)).cast("double").alias("n"), (F.col("bin") + 0.5).alias("c"))
+    # the classes change at occupied bins only, so the first of equals is one of them, or bin 0
+    every = bins.unionByName(bins.select(*keys).distinct().select(*keys, F.lit(0).alias("bin"), F.lit(0).cast("bigint").alias("n")))
+    h = every.groupBy(*keys, "bin").agg(F.sum("n").cast("double").alias("n")).withColumn("c", F.col("bin") + 0.5)
     up = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     down = Window.partitionBy(*keys).orderBy("bin").rowsBetween(1, Window.unboundedFollowing)
     never_zero = lambda c: F.when(c == 0, 1e-5).otherwise(c)

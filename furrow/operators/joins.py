@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,7 +23,7 @@ def knn_join(left: DataFrame, right: DataFrame, k: int, cell: float, id_col: str
     """(id, rank, other, d, v): the k nearest rows of ``right`` for each row of ``left``, exactly; ties by id.
 
     Squares of side ``cell`` meet their 3 x 3 surroundings by an equi-join. A row is done when its k-th distance is at
-    most the distance to the edge of what was searched; the others go on with squares of twice the
+    most the distance to the edge of what was searched; the others go on with squares of at least twice the
     side, which a few lonely rows do. Where many rows of ``right`` share a place only the k + 1 smallest
     ids can be among the nearest, so the others are left out first. ``cell`` should be near the usual spacing.
     A row itself (equal id) is excluded or kept; rows without coordinates take no part.
@@ -36,9 +37,9 @@ def knn_join(left: DataFrame, right: DataFrame, k: int, cell: float, id_col: str
     extra = ["v"] if value else []
     if not ends[4]:
         return a.select("id", F.lit(1).alias("rank"), F.lit(None).cast(b.schema["other"].dataType).alias("other"), F.lit(0.0).alias("d"), *[F.lit(0.0).alias(c) for c in extra]).limit(0)
-    todo, done = a, []
+    cell *= 2 ** _first_level(b, cell, k, ends[4])
+    todo, done, side = a, [], cell
     for no in range(most_rounds):
-        side = cell * 2**no
         far = ends[1] - ends[0] <= side and ends[3] - ends[2] <= side
         ca, cb = (F.floor(F.col(c) / side).alias(n) for c, n in (("bx", "cx"), ("by", "cy")))
         shift = F.explode(F.sequence(F.lit(-1), F.lit(1)))
@@ -62,8 +63,11 @@ def knn_join(left: DataFrame, right: DataFrame, k: int, cell: float, id_col: str
             break
         done.append(top.join(full.select("id"), "id", "left_semi"))
         todo = stage(todo.join(full.select("id"), "id", "left_anti"), "knn-left")
-        if todo.isEmpty():
+        left_over = todo.count()
+        if not left_over:
             break
+        # the fewer go on, the larger their squares may become at no more pairs than at first
+        side *= 2.0 ** max(1, min(6, int(math.log2(max(1.0, ends[4] / left_over)) / 2)))
     else:
         raise RuntimeError(f"neighbours were not settled within {most_rounds} rounds")
     out = done[0]
@@ -72,6 +76,13 @@ def knn_join(left: DataFrame, right: DataFrame, k: int, cell: float, id_col: str
     return out.select("id", F.col("rank").cast("int").alias("rank"), "other", "d", *extra)
 
 
+def _first_level(b: DataFrame, cell: float, k: int, n: int, levels: int = 8) -> int:
+    """How often to double the square's side at first: until an occupied square holds a third of k rows on average."""
+    sides = [cell * 2**i for i in range(levels)]
+    got = b.agg(*[F.approx_count_distinct(F.struct(F.floor(F.col("bx") / s), F.floor(F.col("by") / s))).alias(f"n{i}") for i, s in enumerate(sides)]).first()
+    return next((i for i in range(levels) if n / max(1, got[i]) >= k / 3), levels - 1)
+
+
 def smooth_by_neighbours(df: DataFrame, id_col: str, x: str, y: str, value: str, k: int, cell: float, include_self: bool = False, own: float = 0.7, digits: int | None = None) -> DataFrame:
     """(id, value, smoothed): own * value + (1 - own) * mean of the k nearest.
 
@@ -98,6 +109,13 @@ def neighbour_context(targets: DataFrame, measured: DataFrame, value: str, k: in
     return n.groupBy("id").agg(F.avg("v").alias("mean"), F.avg("d").alias("distance"))
 
 
+def neighbour_means(targets: DataFrame, measured: DataFrame, values: Sequence[str], k: int, cell: float, id_col: str = "id", x: str = "x", y: str = "y") -> DataFrame:
+    """(id, near_<value>..., near_distance): as neighbour_context, for several values by one search; ``measured`` must have them all."""
+    n = knn_join(targets, measured, k, cell, id_col, x, y)
+    named = measured.select(F.col(id_col).alias("other"), *[F.col(v).cast("double").alias(f"near_{v}") for v in values])
+    return n.join(named, "other").groupBy("id").agg(*[F.avg(f"near_{v}").alias(f"near_{v}") for v in values], F.avg("d").alias("near_distance"))
+
+
 def nearest_within(left: DataFrame, right: DataFrame, radius: float, id_col: str = "id", x: str = "x", y: str = "y", exclude_self: bool = False) -> DataFrame:
     """(id, other, d): the nearest row of ``right`` at most ``radius`` away, ties by id; rows without one are left out.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -12,12 +13,13 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.feature import Imputer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from furrow.functions.rounding import half_even
-from furrow.operators.joins import neighbour_context
+from furrow.operators.boosting import fit_boosting
+from furrow.operators.joins import neighbour_means
+from furrow.session import stage
 
 
 def bounded_sample(df: DataFrame, key: str, rows: int, seed: int = 42) -> DataFrame:
@@ -69,33 +71,52 @@ def predict_stage(model: PipelineModel, df: DataFrame, features: Sequence[str],
     return pred.withColumn(out, F.when(F.col("_pred") < len(labels), name)).drop(*drop)
 
 
-def impute_by_boosting(df: DataFrame, id_col: str, x: str, y: str, target: str, context: str, base: Sequence[str], cell: float, k: int = 8, trees: int = 400, depth: int = 5, rate: float = 0.05, seed: int = 42, least: int = 200) -> tuple[DataFrame, float | None]:
-    """(id, value, source) for every row that has the target or gets a prediction, and R squared on a fifth held out.
+def impute_by_boosting(df: DataFrame, id_col: str, x: str, y: str, targets: Sequence[str], base: Sequence[str], cell: float, label: str | None = None, mask: str | None = None, k: int = 8, trees: int = 400, depth: int = 5, rate: float = 0.05, seed: int = 42, least: int = 200, fit_rows: int = 200_000) -> tuple[DataFrame, dict[str, float]]:
+    """(id, targets..., source), one row a row of ``df``, and R squared of each target on a fifth held out.
 
-    Features are the base columns (nulls as 0), the mean target and mean context of the k nearest measured
-    rows, and their mean distance. Measured rows keep their value (``measured``); the others are predicted
-    (``imputed``, three decimals) by gradient boosting over all measured rows. With fewer than
-    ``least`` measured rows nothing is imputed.
+    A row is measured if it has every target and isn't labelled NOISE; a gap lacks the first target, isn't NOISE and has a mask. Gaps get
+    all targets predicted, in three decimals (``predicted``), measured rows keep theirs (``measured``), other rows have no source and keep what they have. Features are
+    the base columns (nulls as 0), the mean of each target over the k nearest measured rows, and their mean distance.
+    The trees are fitted on at most ``fit_rows`` measured rows, those with the smallest hashes of the id; every gap is predicted.
+    With fewer than ``least`` measured rows nothing is filled.
     """
-    has = df.where(F.col(target).isNotNull())
-    kept = has.select(F.col(id_col).alias("id"), F.col(target).cast("double").alias("value"), F.lit("measured").alias("source"))
+    rows = df.select(F.col(id_col).alias("id"), F.col(x).alias("x"), F.col(y).alias("y"), *[F.col(t).cast("double").alias(t) for t in targets], *[F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(0.0)).alias(f"_{c}") for c in base], *[F.col(c).alias(f"_{n}") for c, n in ((label, "label"), (mask, "mask")) if c])
+    plain = ~F.col("_label").eqNullSafe(F.lit("NOISE")) if label else F.lit(True)
+    whole = F.lit(True)
+    for t in targets:
+        whole = whole & F.col(t).isNotNull()
+    gap = F.col(targets[0]).isNull() & plain & (F.col("_mask").isNotNull() if mask else F.lit(True))
+    rows = stage(rows.withColumns({"_measured": whole & plain, "_gap": gap}), "gaps")
+    has = rows.where("_measured")
+    kept = [F.col(t) for t in targets]
     if has.count() < least:
-        return kept, None
-    a = neighbour_context(df, df, target, k, cell, id_col, x, y).withColumnsRenamed({"mean": "_near", "distance": "_dist"})
-    b = neighbour_context(df, df, context, k, cell, id_col, x, y).select("id", F.col("mean").alias("_ctx"))
-    rows = df.select(F.col(id_col).alias("id"), F.col(target).cast("double").alias("_target"), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in base])
-    rows = rows.join(a, "id", "left").join(b, "id", "left").fillna(0.0, ["_near", "_dist", "_ctx"])
-    rows = hash_split(VectorAssembler(inputCols=[*base, "_near", "_ctx", "_dist"], outputCol="_features").transform(rows), "id", seed, (0.8, 0.2), ("train", "test")).select("id", "_target", "_features", "split").persist()
-    gbt = GBTRegressor(labelCol="_target", featuresCol="_features", predictionCol="_pred", maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed)
-    known = rows.where("_target IS NOT NULL")
-    trial = gbt.fit(known.where("split = 'train'")).transform(known.where("split = 'test'"))
-    r2 = trial.agg((1 - F.sum((F.col("_target") - F.col("_pred")) ** 2) / (F.var_pop("_target") * F.count("_target")))).first()[0]
-    filled = gbt.fit(known).transform(rows.where("_target IS NULL"))
-    return kept.unionByName(filled.select("id", half_even("_pred", 3).alias("value"), F.lit("imputed").alias("source"))), r2
-
-
-def archetypes(df: DataFrame, id_col: str, features: Sequence[str], order_by: str, k: int = 4, seed: int = 42, least: int = 50, starts: int = 3) -> DataFrame:
-    """(id, archetype, confidence): Gaussian mixture over scaled features; archetypes numbered by their mean of ``order_by``.
+        return rows.select("id", *kept, F.when(F.col("_measured"), "measured").alias("source")), {}
+    near = neighbour_means(rows.where("_measured OR _gap"), has, targets, k, cell)
+    features = [*[f"_{c}" for c in base], *[f"near_{t}" for t in targets], "near_distance"]
+    both = stage(rows.join(near, "id", "left").fillna(0.0, [f for f in features if f.startswith("near_")]), "features")
+    known = bounded_sample(both.where("_measured").select("id", *features, *targets), "id", fit_rows, seed).toPandas()
+    xs = known[features].to_numpy(dtype=float)
+    test = np.random.default_rng(seed).permutation(len(known)) < len(known) // 5
+    models, r2 = {}, {}
+    for t in targets:
+        v = known[t].to_numpy(dtype=float)
+        trial = fit_boosting(xs[~test], v[~test], trees, depth, rate, seed=seed)
+        r2[t] = 1 - float(((v[test] - trial.predict(xs[test])) ** 2).sum() / max(((v[test] - v[test].mean()) ** 2).sum(), 1e-300))
+        models[t] = fit_boosting(xs, v, trees, depth, rate, seed=seed)
+
+    def predict(it):
+        for pdf in it:
+            q = pdf[features].to_numpy(dtype=float)
+            yield pd.DataFrame({"id": pdf["id"], **{t: np.round(m.predict(q), 3) for t, m in models.items()}})
+
+    kind = rows.schema["id"].dataType.simpleString()
+    filled = both.where("_gap").select("id", *features).mapInPandas(predict, f"id {kind}, " + ", ".join(f"`{t}` double" for t in targets))
+    rest = rows.where("NOT _gap").select("id", *kept, F.when(F.col("_measured"), "measured").alias("source"))
+    return rest.unionByName(filled.withColumn("source", F.lit("predicted"))), r2
+
+
+def archetypes(df: DataFrame, id_col: str, features: Sequence[str], k: int = 4, seed: int = 42, least: int = 50, starts: int = 3) -> DataFrame:
+    """(id, archetype, confidence): Gaussian mixture over scaled features; archetypes numbered by their members' mean over all features, lowest first.
 
     Of ``starts`` fits from different seeds the likeliest is kept.
 
@@ -109,10 +130,12 @@ def archetypes(df: DataFrame, id_col: str, features: Sequence[str], order_by: st
     scaled = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="_raw"), StandardScaler(inputCol="_raw", outputCol="features", withMean=True)]).fit(whole).transform(whole)
     fits = [GaussianMixture(k=k, seed=seed + i, maxIter=60, featuresCol="features").fit(scaled) for i in range(starts)]
     model = max(fits, key=lambda m: m.summary.logLikelihood)
-    at = list(features).index(order_by)
-    means = np.array([g.mean.toArray()[at] for g in model.gaussians])
-    number = F.element_at(F.array(*[F.lit(int(i)) for i in np.argsort(np.argsort(means))]), F.col("prediction") + 1)
-    got = model.transform(scaled).select("id", number.alias("archetype"), half_even(F.array_max(vector_to_array("probability")), 3).alias("confidence"))
+    made = model.transform(scaled)
+    level = sum((F.avg(c) for c in features[1:]), F.avg(features[0]))
+    means = {r["prediction"]: r["m"] for r in made.groupBy("prediction").agg(level.alias("m")).collect()}  # k rows
+    order = sorted(range(k), key=lambda c: (c not in means, means.get(c, 0.0), c))
+    number = F.element_at(F.array(*[F.lit(order.index(c)) for c in range(k)]), F.col("prediction") + 1)
+    got = made.select("id", number.alias("archetype"), half_even(F.array_max(vector_to_array("probability")), 3).alias("confidence"))
     return rows.select("id").join(got, "id", "left").fillna(-1, ["archetype"])
 
 
@@ -176,24 +199,33 @@ def grow_forest(rows: np.ndarray, trees: int = 100, sample: int = 256, seed: int
     return IsolationForest(feature, cut, left, right, depth, m)
 
 
-def isolation_scores(df: DataFrame, id_col: str, features: Sequence[str], cohort: str | None = None, trees: int = 100, sample: int = 256, fit_rows: int = 25_600, seed: int = 42, least: int = 15) -> DataFrame:
+def isolation_scores(df: DataFrame, id_col: str, features: Sequence[str], cohort: str | None = None, trees: int = 100, sample: int = 256, seed: int = 42, least: int = 15, most_cohorts: int = 100) -> DataFrame:
     """(id, cohort, score): isolation scores, lower for outliers, in forests of their own for each cohort.
 
-    A forest is grown from at most ``fit_rows`` rows of its cohort (the smallest hashes of the id), from which each
-    tree takes ``sample``; every row is scored. Missing features become the median of the cohort, 0.5 where
-    there is none. Cohorts are few (at most 1,000, else an error); one below ``least`` rows has null scores.
+    A tree is grown from ``sample`` rows of its cohort, which is the method itself: a forest needs trees * sample rows. They are taken
+    by a hash of the id at the rate that gives twice as many, in one pass for all cohorts, and each forest is grown in a task of its own;
+    every row is scored. Missing features become the (approximate) median of the cohort, 0.5 where
+    there is none. Cohorts are few (at most ``most_cohorts``, else an error); one below ``least`` rows has null scores.
     """
     c = F.col(cohort).cast("string") if cohort else F.lit("all")
     rows = df.select(F.col(id_col).alias("id"), c.alias("cohort"), *[F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double")).alias(f) for f in features]).where(F.col("cohort").isNotNull())
-    stats = rows.groupBy("cohort").agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(f, 0.5, 10_000).alias(f) for f in features]).limit(1001).collect()
-    if len(stats) > 1000:
+    stats = rows.groupBy("cohort").agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(f, 0.5, 10_000).alias(f) for f in features]).limit(most_cohorts + 1).collect()
+    if len(stats) > most_cohorts:
         raise ValueError("too many cohorts for a forest each")
     medians = {r["cohort"]: np.array([0.5 if r[f] is None else r[f] for f in features]) for r in stats}
+    rates = {r["cohort"]: min(1.0, 2 * trees * sample / r["n"]) for r in stats if r["n"] >= least}
+
+    def grow(key, pdf):
+        part = pdf.sort_values("id")[list(features)].to_numpy(dtype=float)
+        forest = grow_forest(np.where(np.isnan(part), medians[key[0]], part), trees, sample, seed)
+        return pd.DataFrame({"cohort": [key[0]], "forest": [pickle.dumps((forest.feature, forest.cut, forest.left, forest.right, forest.depth, forest.sample))]})
+
     forests: dict[str, IsolationForest] = {}
-    for r in stats:
-        if r["n"] >= least:
-            part = bounded_sample(rows.where(F.col("cohort") == r["cohort"]), "id", fit_rows, seed).toPandas()[list(features)].to_numpy(dtype=float)
-            forests[r["cohort"]] = grow_forest(np.where(np.isnan(part), medians[r["cohort"]], part), trees, sample, seed)
+    if rates:
+        u = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        rate = F.element_at(F.create_map(*[F.lit(x) for p in rates.items() for x in p]), F.col("cohort"))
+        took = rows.where(u < rate).groupBy("cohort").applyInPandas(grow, "cohort string, forest binary").collect()  # a forest a cohort
+        forests = {r["cohort"]: IsolationForest(*pickle.loads(r["forest"])) for r in took}
 
     def f(it):
         for pdf in it:
@@ -219,3 +251,20 @@ def outliers(scores: DataFrame, contamination: float, by_cohort: bool = False) -
 def imputed_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing values of numeric columns as the column's (approximate) median."""
     return Imputer(inputCols=list(columns), outputCols=list(columns), strategy="median").fit(df).transform(df)
+
+
+def save_stage_model(model: PipelineModel, path: str, features: Sequence[str], gsd: tuple[float, float]) -> None:
+    """The fitted pipeline in path/model, and one JSON row with its feature names, labels and metres a pixel in path/params."""
+    from pyspark.sql import SparkSession
+
+    model.write().overwrite().save(f"{path}/model")
+    row = [(list(features), list(model.stages[0].labels), float(gsd[0]), float(gsd[1]))]
+    SparkSession.active().createDataFrame(row, "features array<string>, labels array<string>, gsd_x double, gsd_y double").coalesce(1).write.mode("overwrite").json(f"{path}/params")
+
+
+def load_stage_model(path: str) -> tuple[PipelineModel, list[str], tuple[float, float]]:
+    """What save_stage_model wrote: the pipeline, its feature names, metres a pixel."""
+    from pyspark.sql import SparkSession
+
+    p = SparkSession.active().read.json(f"{path}/params").first()
+    return PipelineModel.load(f"{path}/model"), list(p["features"]), (p["gsd_x"], p["gsd_y"])

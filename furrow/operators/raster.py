@@ -149,6 +149,20 @@ def resized_nearest(pixels: DataFrame, from_size: tuple[int, int], to_size: tupl
     return out.select("row", F.col("_c").cast("int").alias("col"))
 
 
+def background(r: str, g: str, b: str, colour: tuple[int, int, int] = (255, 255, 255)) -> Column:
+    """Pixels of the background's colour; a null band is not background."""
+    return F.coalesce((F.col(r) == colour[0]) & (F.col(g) == colour[1]) & (F.col(b) == colour[2]), F.lit(False))
+
+
+def sunlit_or_centre(windows: DataFrame, keys: Sequence[str], brightness: str, threshold: str, centre: Column, floor: float = 50.0) -> DataFrame:
+    """The rows of each window that are brighter than its threshold and than the floor; of a window all in shadow, the centre."""
+    from furrow.operators.aggregates import sunlit
+
+    lit = windows.withColumn("_lit", F.coalesce(sunlit(F.col(brightness), F.col(threshold), floor), F.lit(False)))
+    some = lit.groupBy(*keys).agg(F.max("_lit").alias("_some"))
+    return lit.join(some, list(keys)).where(F.col("_lit") | (~F.col("_some") & centre)).drop("_lit", "_some")
+
+
 def exclusion(r: str, g: str, b: str, nir: str | None = None, ndvi_below: float = 0.10, bright: float = 220.0) -> Column:
     """Pixels to leave out: bright ones, and those with little vegetation where a near-infrared band exists."""
     from furrow.functions.indices import EPS_RGB, brightness, normalised_difference

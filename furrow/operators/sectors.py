@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from furrow.functions.rounding import half_away
 from furrow.operators.joins import knn_join
-from furrow.session import running_total
+from furrow.session import running_total, stage
 
 
 def spacing(points: DataFrame, id_col: str, x: str, y: str, k: int, cell: float) -> DataFrame:
@@ -40,22 +40,12 @@ def axis_tolerance(points: DataFrame, keys: list[str], minor: str, factor: float
     return h.groupBy(*keys).agg(F.greatest(F.percentile("gap", 0.5, F.col("c")) * factor, F.lit(least)).alias("tolerance"))
 
 
-def anchored_rows(minor: np.ndarray, tolerance: float) -> np.ndarray:
-    """Row numbers from 1 of values in falling order: a value farther than the tolerance from its row's first value begins a row."""
-    out, row, anchor = np.empty(len(minor), np.int64), 0, None
-    for i, v in enumerate(minor.tolist()):
-        if anchor is None or abs(anchor - v) > tolerance:
-            row, anchor = row + 1, v
-        out[i] = row
-    return out
-
-
 def row_column_numbers(points: DataFrame, id_col: str, sector: str, minor: str, major: str, tolerance: str) -> DataFrame:
     """(id, sector, row_index, col_index), both from 1: rows by falling minor with anchored tolerance, columns by major in a row.
 
     A sector's rows are folded one after the other, but wherever a stretch of the minor axis as long as the
     tolerance is empty a new row must begin. So the occupied stretches are counted first, islands of them
-    are folded independently, and their row counts are added up: a large sector is many tasks.
+    are folded independently, streaming in order, and their row counts are added up: a large sector is many tasks.
     Rows with a null sector or a negative one (noise), minor, major or tolerance get no numbers; equal positions go by id.
     """
     p = points.select(F.col(id_col).alias("id"), F.col(sector).alias("sector"), F.col(minor).cast("double").alias("minor"), F.col(major).cast("double").alias("major"), F.col(tolerance).cast("double").alias("tol"))
@@ -66,15 +56,23 @@ def row_column_numbers(points: DataFrame, id_col: str, sector: str, minor: str,
     b = b.withColumn("_new", F.coalesce((F.lag("_b").over(w) - F.col("_b") > 1).cast("int"), F.lit(1)))
     b = b.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["minor", "major", "id"], ascending=[False, True, True], kind="stable")
-        row = anchored_rows(pdf["minor"].to_numpy(), float(pdf["tol"].iloc[0]))
-        out = pdf[["id", "sector", "_island"]].assign(row=row, major=pdf["major"])
-        out["col_index"] = out.sort_values(["row", "major", "id"], kind="stable").groupby("row").cumcount() + 1
-        return out[["id", "sector", "_island", "row", "col_index"]]
+    def fold(it):
+        key, row, anchor = None, 0, 0.0
+        for pdf in it:
+            out = []
+            for s, i, v, tol in zip(pdf["sector"].tolist(), pdf["_island"].tolist(), pdf["minor"].tolist(), pdf["tol"].tolist()):
+                if (s, i) != key:
+                    key, row, anchor = (s, i), 1, v
+                elif abs(anchor - v) > tol:
+                    row, anchor = row + 1, v
+                out.append(row)
+            yield pdf[["id", "sector", "_island", "major"]].assign(row=out)
 
     kinds = {f.name: f.dataType.simpleString() for f in p.schema.fields}
-    parts = p.join(b, ["sector", "_b"]).drop("_b").groupBy("sector", "_island").applyInPandas(fold, f"id {kinds['id']}, sector {kinds['sector']}, _island long, row long, col_index long")
+    whole = p.join(b, ["sector", "_b"]).drop("_b").repartition("sector", "_island").sortWithinPartitions("sector", "_island", F.desc("minor"), "major", "id")
+    parts = whole.select("id", "sector", "_island", "minor", "major", "tol").mapInPandas(fold, f"id {kinds['id']}, sector {kinds['sector']}, _island long, major double, row long")
+    parts = parts.withColumn("col_index", F.row_number().over(Window.partitionBy("sector", "_island", "row").orderBy("major", "id")))
+    parts = stage(parts.drop("major"), "rows")
     n = parts.groupBy("sector", "_island").agg(F.max("row").alias("_n"))
     before = n.select("sector", "_island", F.coalesce(F.sum("_n").over(Window.partitionBy("sector").orderBy("_island").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_o"))
     return parts.join(before, ["sector", "_island"]).select("id", "sector", (F.col("row") + F.col("_o")).cast("int").alias("row_index"), F.col("col_index").cast("int").alias("col_index"))

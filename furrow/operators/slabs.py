@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Candidate pairs looked at together, which bounds a worker's memory.
@@ -53,10 +53,14 @@ def slab_pairs(x: np.ndarray, y: np.ndarray, radius: float):
 
 @dataclass(frozen=True)
 class Slabs:
-    """Slabs along x between ``breaks``, each cut along y at ``cuts[slab]`` where it holds too many rows."""
+    """Slabs along x between ``breaks``, each cut along y at ``cuts[slab]`` where it holds too many rows.
+
+    ``parts``: into how many parts a block's rows are dealt that no cut can make smaller, such as many at one place.
+    """
 
     breaks: np.ndarray
-    cuts: tuple[np.ndarray, ...]
+    cuts: dict[int, np.ndarray]
+    parts: dict[tuple[int, int], int]
 
     def tiles(self, x: np.ndarray, y: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(row, slab, block, home) for each slab and block that the square around a point meets."""
@@ -65,7 +69,7 @@ class Slabs:
         block = np.zeros(len(row), np.int64)
         parts = []
         for s in np.unique(slab):
-            at, cuts = np.flatnonzero(slab == s), self.cuts[s]
+            at, cuts = np.flatnonzero(slab == s), self.cuts.get(int(s), ())
             if len(cuts):
                 z = y[row[at]]
                 again, b = _ranges(np.searchsorted(cuts, z - radius, "right"), np.searchsorted(cuts, z + radius, "right"))
@@ -74,6 +78,15 @@ class Slabs:
                 parts.append((row[at], slab[at], block[at], home[at]))
         return tuple(np.concatenate(p) for p in zip(*parts)) if parts else (row, slab, block, home)
 
+    def deal(self, slab: np.ndarray, block: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(row, part, low, high): each row once, or, in a block of several parts, for every part that its own meets, itself included."""
+        many = np.ones(len(slab), np.int64)
+        for (s, b), n in self.parts.items():
+            many[(slab == s) & (block == b)] = n
+        row, other = _ranges(np.zeros(len(slab), np.int64), many - 1)
+        part = (salt % many)[row]
+        return row, part, np.minimum(part, other), np.maximum(part, other)
+
 
 def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Every value of each range lo..hi, with the index of the range."""
@@ -82,46 +95,69 @@ def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
 
 
-def plan_slabs(df: DataFrame, x: str, y: str, rows_per_slab: int = 20_000, most: int = 4096, cuts: int = 64) -> Slabs:
-    """Balanced slabs from mergeable quantile sketches over all rows: at most ``most`` slabs of at most ``cuts`` blocks.
+def plan_slabs(df: DataFrame, x: str, y: str, rows_per_slab: int = 20_000, most: int = 4096) -> Slabs:
+    """Balanced slabs from mergeable quantile sketches over all rows: at most ``most``, cut along y into blocks of about ``rows_per_slab`` rows.
 
-    Where many rows share an x their slab stays large; it is then cut along y. What reaches the driver is
-    bounded by most * cuts numbers.
+    Slabs of more than three times as many rows, by their own count, are cut at as many quantiles of y as that takes. A block that stays
+    large all the same, as its rows lie at one y, is given parts instead. What reaches the driver is a number for each block.
     """
     n = df.count()
     want = int(min(most, max(1, n // rows_per_slab)))
-    if want == 1:
-        return Slabs(np.empty(0), (np.empty(0),))
-    probs = [i / want for i in range(1, want)]
-    breaks = np.unique(df.agg(F.percentile_approx(x, probs, 20 * want).alias("b")).first()["b"])
-    slab = _bucket(F.col(x), breaks)
-    steps = [i / cuts for i in range(1, cuts)]
-    found = df.groupBy(slab.alias("s")).agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(y, steps, 1000).alias("q")).where(F.col("n") > 3 * rows_per_slab).collect()
-    out = [np.empty(0)] * (len(breaks) + 1)
-    for r in found:
-        parts = min(cuts, -(-r["n"] // rows_per_slab))
-        out[r["s"]] = np.unique([r["q"][round(i * cuts / parts) - 1] for i in range(1, parts)])
-    return Slabs(breaks, tuple(out))
+    if want == 1 and n <= 3 * rows_per_slab:
+        return Slabs(np.empty(0), {}, {})
+    breaks = np.unique(df.agg(F.percentile_approx(x, [i / want for i in range(1, want)], 20 * want).alias("b")).first()["b"]) if want > 1 else np.empty(0)
 
+    def count(it):
+        total = np.zeros(len(breaks) + 1, np.int64)
+        for pdf in it:
+            total += np.bincount(np.searchsorted(breaks, pdf["x"].to_numpy(), "right"), minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"s": at, "n": total[at]})
 
-def _bucket(c: Column, breaks: np.ndarray) -> Column:
-    """The number of breaks at most c, as a column: a binary search written as nested conditions."""
+    sizes = {r["s"]: r["n"] for r in df.select(F.col(x).alias("x")).mapInPandas(count, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).collect()}
+    large = np.array(sorted(s for s, m in sizes.items() if m > 3 * rows_per_slab), dtype=np.int64)
+    if not len(large):
+        return Slabs(breaks, {}, {})
+    steps = int(max(-(-sizes[s] // rows_per_slab) for s in large))
 
-    def half(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(c < float(breaks[mid]), half(lo, mid)).otherwise(half(mid + 1, hi))
+    def place(it):
+        for pdf in it:
+            slab = np.searchsorted(breaks, pdf["x"].to_numpy(), "right")
+            keep = np.isin(slab, large)
+            yield pd.DataFrame({"s": slab[keep], "y": pdf["y"].to_numpy()[keep]})
+
+    ys = df.select(F.col(x).alias("x"), F.col(y).alias("y")).mapInPandas(place, "s long, y double")
+    found = ys.groupBy("s").agg(F.percentile_approx("y", [i / steps for i in range(1, steps)], max(1000, 20 * steps)).alias("q"))
+    cuts, parts = {}, {}
+    for r in found.collect():
+        blocks = -(-sizes[r["s"]] // rows_per_slab)
+        at = np.array([r["q"][max(0, round(i * steps / blocks) - 1)] for i in range(1, blocks)])
+        cuts[r["s"]], again = np.unique(at, return_counts=True)
+        # a cut that comes up several times has as many blocks' rows at its own y, which lie above it
+        for b, c in enumerate(again, 1):
+            if c > 3:
+                parts[r["s"], b] = int(-(-c // 3))
+    return Slabs(breaks, cuts, parts)
+
+
+def _in_slabs(df: DataFrame, breaks: np.ndarray, **out: str) -> DataFrame:
+    """Columns with the number of breaks at most another column's value (null and NaN as 0.0), found by binary search a batch at a time."""
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+    def f(it):
+        for pdf in it:
+            yield pdf.assign(**{k: np.searchsorted(breaks, np.nan_to_num(pdf[c].to_numpy(dtype=float, na_value=0.0), nan=0.0), "right") for k, c in out.items()})
 
-    return half(0, len(breaks))
+    return df.mapInPandas(f, kinds + "".join(f", `{k}` long" for k in out))
 
 
-def near_pairs(df: DataFrame, id_col: str, x: str, y: str, radius: float, value: str | None = None, differ: float = 0.0) -> DataFrame:
+def near_pairs(df: DataFrame, id_col: str, x: str, y: str, radius: float, value: str | None = None, differ: float = 0.0, rows_per_slab: int = 20_000) -> DataFrame:
     """(a, b, distance): pairs of different points at most ``radius`` apart, smaller id first; with value_a and value_b and
     only pairs whose ``value`` differs by more than ``differ``, if a value column is named.
 
     Points are distributed by slab and block; a point goes to every block that its square meets and is
-    located in its own, so each pair is found once. Ids compare as text.
+    located in its own, so each pair is found once. Blocks that cannot be cut small enough, as at one place, are dealt to parts that
+    meet in pairs. Ids compare as text.
 
     Rows with a null id, or a null, NaN or infinite coordinate (or value, if one is named), have no partners.
     Points at one place pair like others; rows of equal id never pair.
@@ -129,17 +165,22 @@ def near_pairs(df: DataFrame, id_col: str, x: str, y: str, radius: float, value:
     v = F.col(value).cast("double") if value else F.lit(0.0)
     rows = df.select(F.col(id_col).cast("string").alias("id"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"), v.alias("v"))
     rows = rows.where(F.col("id").isNotNull() & (F.abs("x") < float("inf")) & (F.abs("y") < float("inf")) & (F.abs("v") < float("inf")))
-    slabs = plan_slabs(rows, "x", "y")
+    slabs = plan_slabs(rows, "x", "y", rows_per_slab)
 
     def assign(it):
         for pdf in it:
             row, slab, block, home = slabs.tiles(pdf["x"].to_numpy(), pdf["y"].to_numpy(), radius + 1e-6)
-            yield pdf.iloc[row].assign(slab=slab, block=block, home=home)
+            again, part, low, high = slabs.deal(slab, block, pdf["salt"].to_numpy()[row])
+            yield pdf.iloc[row[again]].drop(columns="salt").assign(slab=slab[again], block=block[again], home=home[again], part=part, low=low, high=high)
 
     def locate(pdf: pd.DataFrame) -> pd.DataFrame:
-        px, py, pv, home, ids = (pdf[c].to_numpy() for c in ("x", "y", "v", "home", "id"))
+        px, py, pv, home, ids, part = (pdf[c].to_numpy() for c in ("x", "y", "v", "home", "id", "part"))
+        apart = pdf["low"].iloc[0] != pdf["high"].iloc[0]  # two parts: pairs inside one are found where it is alone
         out = [pd.DataFrame({"a": [], "b": [], "distance": [], "value_a": [], "value_b": []}).astype({"a": str, "b": str})]
         for i, j in slab_pairs(px, py, radius):
+            if apart:
+                cross = part[i] != part[j]
+                i, j = i[cross], j[cross]
             if value:
                 keep = np.abs(pv[i] - pv[j]) > differ
                 i, j = i[keep], j[keep]
@@ -150,8 +191,9 @@ def near_pairs(df: DataFrame, id_col: str, x: str, y: str, radius: float, value:
             out.append(pd.DataFrame({"a": ids[a], "b": ids[b], "distance": np.sqrt((px[a] - px[b]) ** 2 + (py[a] - py[b]) ** 2), "value_a": pv[a], "value_b": pv[b]}))
         return pd.concat(out, ignore_index=True)
 
-    tiles = rows.mapInPandas(assign, "id string, x double, y double, v double, slab long, block long, home boolean")
-    found = tiles.groupBy("slab", "block").applyInPandas(locate, "a string, b string, distance double, value_a double, value_b double")
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(1 << 40)) if slabs.parts else F.lit(0).cast("long"))
+    tiles = salted.mapInPandas(assign, "id string, x double, y double, v double, slab long, block long, home boolean, part long, low long, high long")
+    found = tiles.groupBy("slab", "block", "low", "high").applyInPandas(locate, "a string, b string, distance double, value_a double, value_b double")
     return found if value else found.drop("value_a", "value_b")
 
 
@@ -253,8 +295,7 @@ def containing_region(points: DataFrame, x: str, y: str, regions: DataFrame, zon
         made = RegionSlabs(found.to_numpy(dtype=float))
         return rows.mapInPandas(lambda it: (answer(p, made) for p in it), f"{fields}, zone {kind}")
     slabs = plan_slabs(rows.where((F.abs("_x") < float("inf")) & (F.abs("_y") < float("inf"))), "_x", "_y")
-    place = rows.withColumn("_s", _bucket(F.coalesce("_x", F.lit(0.0)), slabs.breaks)).withColumn("_t", F.pmod(F.xxhash64(*rows.columns), F.lit(spread)).cast("int"))
-    low, high = (_bucket(f("x1", "x2"), slabs.breaks) for f in (F.least, F.greatest))
-    wide = edges.withColumn("_s", F.explode(F.sequence(low, high))).withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    place = _in_slabs(rows, slabs.breaks, _s="_x").withColumn("_t", F.pmod(F.xxhash64(*rows.columns), F.lit(spread)).cast("int"))
+    wide = _in_slabs(edges, slabs.breaks, _lo="x1", _hi="x2").withColumn("_s", F.explode(F.sequence(F.least("_lo", "_hi"), F.greatest("_lo", "_hi")))).withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))).drop("_lo", "_hi")
     both = place.groupBy("_s", "_t").cogroup(wide.groupBy("_s", "_t"))
     return both.applyInPandas(lambda p, e: answer(p, RegionSlabs(e[["zone", "x1", "y1", "x2", "y2"]].to_numpy(dtype=float))), f"{fields}, zone {kind}")

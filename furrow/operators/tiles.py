@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from furrow.session import stage
+
 
 def stride(size: int, overlap: float) -> int:
     return max(1, round(size * (1 - overlap)))
@@ -55,6 +57,26 @@ def tile_summary(grid: DataFrame, detections: DataFrame, confidence: Column, mas
     return grid.join(n, "tile_id", "left").select("tile_id", "x0", "y0", F.coalesce("detections", F.lit(0)).alias("detections"), F.coalesce("masks", F.lit(0)).alias("masks"))
 
 
+def first_rows(df: DataFrame, order: list, n: int) -> DataFrame:
+    """The first n rows in a total order, as for a trial run over a few tiles; each task sends n rows."""
+    return df.orderBy(*order).limit(n)
+
+
+def chunked(df: DataFrame, key: str, parts: int = 8, rows_per_chunk: int = 200_000) -> DataFrame:
+    """``chunk`` 0..parts-1: consecutive runs of ceil(n / parts) rows in the order of a unique key.
+
+    Rows are numbered from the counts of their range partitions, so no task sees all of them.
+    """
+    n = df.count()
+    size = max(1, -(-n // parts))
+    ranged = df.repartitionByRange(max(1, -(-n // rows_per_chunk)), key).withColumn("_p", F.spark_partition_id())
+    ranged = stage(ranged, "ranged")
+    sizes = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_p", F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(1)).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_o"))  # a row a partition
+    i = F.row_number().over(Window.partitionBy("_p").orderBy(key)) - 1 + F.col("_o")
+    return ranged.join(before, "_p").withColumn("chunk", F.floor(i / F.lit(size)).cast("int")).drop("_p", "_o")
+
+
 def stitch(pixels: DataFrame, value: str, keys: tuple[str, ...] = ("row", "col")) -> DataFrame:
     """Overlapping masks merged into one scene: the largest value, the sum and the number of masks at each pixel."""
     return pixels.groupBy(*keys).agg(F.max(value).alias("largest"), F.sum(value).alias("total"), F.count(F.lit(1)).alias("masks"))

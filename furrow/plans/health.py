@@ -16,6 +16,7 @@ from furrow.operators.aggregates import project, sector_frames
 from furrow.operators.joins import smooth_by_neighbours
 from furrow.operators.models import archetypes, isolation_scores, outliers
 from furrow.operators.sectors import axis_tolerance, relabelled, row_column_numbers
+from furrow.session import stage
 
 
 @dataclass(frozen=True)
@@ -30,25 +31,26 @@ class RankParams:
     least_outliers: int = 30
 
 
-def rank_health(plants: DataFrame, p: RankParams = RankParams(), with_models: bool = True) -> DataFrame:
+def rank_health(plants: DataFrame, p: RankParams = RankParams(), with_models: bool = True, digits: int = 1) -> DataFrame:
     """Rank-based health of plants (plant_id, sector_label, x, y, ndvi, ndre), one row a plant.
 
-    Plants with both indices are valid: indices are smoothed over neighbours, ranked, blended, diagnosed and
-    capped; the others have null scores and are Out of Boundary. Rows labelled NOISE come last: their scores are
-    null and their status is NOISE.
+    Each index is smoothed over the neighbours that have it. Plants with both indices are valid: they are ranked, blended,
+    diagnosed and capped; the others have null scores and are Out of Boundary. Rows labelled NOISE come last: their scores are
+    null and their status is NOISE. Scores have ``digits`` decimals.
     """
     rows = plants.select("plant_id", "sector_label", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), finite("ndvi").alias("ndvi"), finite("ndre").alias("ndre"))
     both = F.col("ndvi").isNotNull() & F.col("ndre").isNotNull()
-    rows = rows.withColumns({"_v": F.when(both, F.col("ndvi")), "_e": F.when(both, F.col("ndre"))})
-    for value, out in (("_v", "ndvi_smooth"), ("_e", "ndre_smooth")):
+    for value in ("ndvi", "ndre"):
         s = smooth_by_neighbours(rows, "plant_id", "x", "y", value, p.neighbours, p.cell, own=p.own)
-        rows = rows.join(s.select(F.col("id").alias("plant_id"), half_even("smoothed", 9).alias(out)), "plant_id", "left")
-    rows = average_rank_score(rows, "ndvi_smooth", "biomass")
-    rows = average_rank_score(rows, "ndre_smooth", "nitrogen")
+        rows = rows.join(s.select(F.col("id").alias("plant_id"), half_even("smoothed", 9).alias(f"{value}_smooth")), "plant_id", "left")
+    rows = rows.withColumns({"_v": F.when(both, F.col("ndvi_smooth")), "_e": F.when(both, F.col("ndre_smooth"))})
+    rows = average_rank_score(rows, "_v", "biomass")
+    rows = average_rank_score(rows, "_e", "nitrogen")
+    rows = stage(rows, "ranked")
     anomaly, cluster, confidence = F.lit(False), F.lit(-1), F.lit(None).cast("double")
     if with_models:
         scores = isolation_scores(rows.where(both), "plant_id", ["ndvi_smooth", "ndre_smooth"], least=p.least_outliers)
-        a = archetypes(rows.where(both), "plant_id", ["ndvi_smooth", "ndre_smooth"], "ndvi_smooth")
+        a = archetypes(rows.where(both), "plant_id", ["ndvi_smooth", "ndre_smooth"])
         rows = rows.join(outliers(scores, p.contamination).select(F.col("id").alias("plant_id"), "outlier"), "plant_id", "left").join(a.withColumnRenamed("id", "plant_id"), "plant_id", "left")
         anomaly, cluster, confidence = F.coalesce("outlier", F.lit(False)), F.coalesce("archetype", F.lit(-1)), F.col("confidence")
     b, n = F.col("biomass"), F.col("nitrogen")
@@ -59,7 +61,7 @@ def rank_health(plants: DataFrame, p: RankParams = RankParams(), with_models: bo
     return rows.select(
         "plant_id", "sector_label", "ndvi", "ndre",
         *[half_even(c, 3).alias(c) for c in ("ndvi_smooth", "ndre_smooth")],
-        hide(half_even(b, 1)).alias("biomass_score"), hide(half_even(n, 1)).alias("nitrogen_score"), hide(half_even(score, 1)).alias("health_score"),
+        hide(half_even(b, digits)).alias("biomass_score"), hide(half_even(n, digits)).alias("nitrogen_score"), hide(half_even(score, digits)).alias("health_score"),
         tier.alias("health_status"), ladders.tier_colour(tier).alias("health_color"),
         hide(ladders.diagnosis(b, n)).alias("diagnosis"), hide(ladders.limiting_factor(b, n)).alias("limiting_factor"),
         anomaly.alias("is_anomaly"), F.when(noise, -1).otherwise(cluster).alias("archetype"), hide(confidence).alias("archetype_confidence"),
@@ -80,7 +82,7 @@ def cohort_health(plants: DataFrame, cell: float = 2.0, contamination: float = 0
     rows = rows.join(iso.select(F.col("id").alias("plant_id"), "score"), "plant_id", "left")
     stats = rows.groupBy("stage").agg(F.percentile_approx("score", 0.5, 10_000).alias("_med"), F.stddev_pop("score").alias("_sd"), F.avg("osavi_smooth").alias("_mean"))
     stats = stats.withColumn("_sd", F.when(F.col("_sd") > 0.01, F.col("_sd")).otherwise(0.05))
-    rows = rows.join(F.broadcast(stats), "stage", "left")  # five stages
+    rows = stage(rows.join(stats, "stage", "left"), "cohorts")
     med, sd = F.col("_med"), F.col("_sd")
     norm = rescale("score", med - 2 * sd, med + sd)
     v = ladders.vigour(F.col("osavi"), F.col("ndvi"), F.col("ndre"), F.col("stage"))

@@ -94,7 +94,7 @@ def vigor_blend_caps(spark: SparkSession, d: str) -> DataFrame:
     """Rescaled, blended and capped vigour; low ndvi stands for the outlier."""
     rows = plants(spark, d)
     mean = rows.groupBy(F.col("stage").alias("_s")).agg(F.avg("osavi").alias("_m"))
-    rows = rows.join(F.broadcast(mean), F.col("stage").eqNullSafe(F.col("_s")), "left")  # a row a stage
+    rows = rows.join(mean, F.col("stage").eqNullSafe(F.col("_s")), "left")
     v = ladders.vigour(F.col("osavi"), F.col("ndvi"), F.col("ndre"), F.col("stage"))
     return rows.select("plant_id", _ROUND(v).alias("vigour"), _ROUND(ladders.directional_caps(v, F.col("osavi"), F.col("stage"), F.col("ndvi") < 0.2, F.col("_m"))).alias("capped"))
 
@@ -296,7 +296,7 @@ def otsu_threshold(spark: SparkSession, d: str) -> DataFrame:
 def sunlit_mask(spark: SparkSession, d: str) -> DataFrame:
     """Brighter than the threshold and than its floor."""
     rows = plants(spark, d)
-    t = F.broadcast(aggregates.otsu_threshold(rows.where("stage IS NOT NULL"), "health_score", ["stage"]))  # a row a stage
+    t = aggregates.otsu_threshold(rows.where("stage IS NOT NULL"), "health_score", ["stage"])
     return rows.join(t, "stage", "left").select("plant_id", nulls.holds(aggregates.sunlit(F.col("health_score"), F.col("threshold"))).alias("sunlit"))
 
 

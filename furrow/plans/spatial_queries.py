@@ -11,6 +11,7 @@ from furrow.functions.geo import pixel_of
 from furrow.functions.rounding import half_away
 from furrow.functions.text import plain_numbers
 from furrow.operators import aggregates, joins, raster, sectors, tiles
+from furrow.operators.sectors import simplified_ring
 from furrow.plans.base import PIXELS, PLANTS, POSITIONS, SAMPLES, SCENE, Registry, pixels, plants, positions, samples
 from furrow.plans.crops import table
 
@@ -280,7 +281,7 @@ def tile_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _simple_rings(rings: pd.Series) -> pd.Series:
-    return rings.map(lambda r: None if r is None else sectors.simplified_ring(list(r), 2.0))
+    return rings.map(lambda r: None if r is None else simplified_ring(list(r), 2.0))
 
 
 _RUNS = f"(SELECT row, min(col) AS first, max(col) AS last FROM (SELECT row, col, col - row_number() OVER (PARTITION BY row ORDER BY col) AS g FROM (SELECT DISTINCT row, col FROM {PIXELS})) GROUP BY row, g)"

@@ -28,7 +28,8 @@ def get_spark(app: str = "furrow", cpus: str = "*", partitions: int = 8, memory:
     )
 
 
-_STAGED: list[tuple[SparkSession, str]] = []
+#: Paths only: functions sent to executors carry this module along.
+_STAGED: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -55,13 +56,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     passed along, so reading it needs no inference job. Tables live until drop_staged, the end of a
     ``staging`` block, or the end of the process.
     """
-    spark = df.sparkSession
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder that is deleted with the staged tables."""
     if not _STAGED:
         atexit.register(release)
     path = f"{shared_dir(spark)}/stage-{os.getpid()}/{name}-{uuid.uuid4().hex}"
-    _STAGED.append((spark, path))
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _STAGED.append(path)
+    return path
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -72,10 +78,11 @@ def _delete(spark: SparkSession, path: str) -> None:
 def release(keep: int = 0) -> None:
     """Delete the staged tables but the first ``keep``."""
     while len(_STAGED) > keep:
-        spark, path = _STAGED.pop()
+        path, spark = _STAGED.pop(), SparkSession.getActiveSession()
         try:
-            _delete(spark, path)
-        except Exception:  # noqa: BLE001 - the session has ended: its folder goes with the process
+            if spark is not None:
+                _delete(spark, path)
+        except Exception:  # noqa: BLE001 - the session has ended
             pass
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,10 +62,10 @@ def index_grid(grid: DataFrame, zone: int) -> DataFrame:
     return clean_floats(grid).na.drop(subset=["ndvi", "ndre", "lat", "lon"]).withColumns({"x": x, "y": y})
 
 
-def read_points_geojson(spark: SparkSession, path: str, properties: str) -> DataFrame:
-    """Point features as rows: the named properties, x, y and crs (the collection's name, or null)."""
+def read_points_geojson(spark: SparkSession, path: str, properties: str, lines: bool = False) -> DataFrame:
+    """Point features as rows: the named properties, x, y and crs (the collection's name, or null). With ``lines`` each line is a document."""
     schema = f"crs struct<properties:struct<name:string>>, features array<struct<type:string,properties:struct<{properties}>,geometry:struct<type:string,coordinates:array<double>>>>"
-    rows = spark.read.schema(schema).option("multiLine", True).json(path)
+    rows = spark.read.schema(schema).option("multiLine", not lines).json(path)
     f = rows.select(F.col("crs.properties.name").alias("crs"), F.explode("features").alias("f")).where("f.geometry.type = 'Point'")
     return f.select("f.properties.*", F.get("f.geometry.coordinates", F.lit(0)).alias("x"), F.get("f.geometry.coordinates", F.lit(1)).alias("y"), "crs")
 
@@ -89,6 +91,16 @@ def ring_area(ring):
     return F.abs(cross) / 2
 
 
+def projected_ring(ring: Column, zone: int) -> Column:
+    """A ring of longitude and latitude in metres of the UTM zone; a ring that isn't geographic (any value beyond 360) stays."""
+    def moved(p: Column) -> Column:
+        x, y = to_utm(F.element_at(p, 2), F.element_at(p, 1), zone)
+        return F.array(x, y)
+
+    far = F.exists(ring, lambda p: (F.abs(F.element_at(p, 1)) > 360) | (F.abs(F.element_at(p, 2)) > 360))
+    return F.when(far, ring).otherwise(F.transform(ring, moved))
+
+
 def largest_ring(rings: DataFrame) -> DataFrame:
     """The ring of the greatest area, which stands for the dissolved boundary."""
     return rings.agg(F.max_by("ring", F.struct("area", (-F.col("feature")).alias("f"), (-F.col("part")).alias("p"))).alias("ring"), F.max("area").alias("area"))
@@ -151,12 +163,21 @@ def read_yolo_labels(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_mask_pixels(spark: SparkSession, path: str, pattern: str = "*.png") -> DataFrame:
-    """(file, row, col) of the set pixels of PNG masks, first channel above 0; unreadable files are left out."""
+    """(file, row, col) of the set pixels of PNG masks, first channel above 0; unreadable files are left out.
+
+    Images are looked at one at a time in their task; only set pixels become rows.
+    """
     rows = spark.read.format("image").option("dropInvalid", True).option("pathGlobFilter", pattern).load(path).select("image.*")
-    width, ch = F.col("width"), F.col("nChannels")
-    n = rows.select(F.regexp_extract("origin", r"([^/]+)$", 1).alias("file"), "width", "nChannels", F.col("data"), F.explode(F.sequence(F.lit(0), F.col("width") * F.col("height") - 1)).alias("i"))
-    value = F.conv(F.hex(F.substring(F.col("data"), F.col("i") * ch + ch, F.lit(1))), 16, 10).cast("int")  # channels are stored blue first
-    return n.where(value > 0).select("file", F.floor(F.col("i") / width).cast("int").alias("row"), F.pmod("i", width).cast("int").alias("col"))
+    rows = rows.select(F.regexp_extract("origin", r"([^/]+)$", 1).alias("file"), "height", "width", "nChannels", "data")
+
+    def f(it):
+        for pdf in it:
+            for name, h, w, ch, data in zip(*(pdf[c] for c in ("file", "height", "width", "nChannels", "data"))):
+                first = np.frombuffer(data, np.uint8).reshape(h, w, ch)[:, :, 2 if ch >= 3 else 0]  # channels are stored blue first
+                r, c = np.nonzero(first)
+                yield pd.DataFrame({"file": name, "row": r.astype(np.int32), "col": c.astype(np.int32)})
+
+    return rows.mapInPandas(f, "file string, row int, col int")
 
 
 def mask_pixels_of_runs(rows: DataFrame) -> DataFrame:

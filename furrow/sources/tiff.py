@@ -7,6 +7,8 @@ uncompressed, LZW, Deflate or PackBits, with or without horizontal prediction. A
 from __future__ import annotations
 
 import glob
+import io
+import json
 import os
 import struct
 import zlib
@@ -15,6 +17,8 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from furrow.functions.geo import latlon_arrays
+
 # Fixed values of the TIFF and GeoTIFF formats.
 SIZES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8, 16: 8}
 CODES = {1: "B", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 16: "Q"}
@@ -67,8 +71,9 @@ class Header:
         return found.get(3072) or found.get(2048)
 
 
-def read_header(path: str) -> Header:
-    with open(path, "rb") as f:
+def read_header(path: str, data: bytes | None = None) -> Header:
+    """The first directory's tags, of a file or of its bytes."""
+    with io.BytesIO(data) if data is not None else open(path, "rb") as f:
         head = f.read(8)
         order = {b"II": "<", b"MM": ">"}.get(head[:2])
         if order is None or struct.unpack(order + "H", head[2:4])[0] != 42:
@@ -138,7 +143,7 @@ def unpack_bits(data: bytes) -> bytes:
     return bytes(out)
 
 
-def read_window(h: Header, row0: int, col0: int, height: int, width: int) -> np.ndarray:
+def read_window(h: Header, row0: int, col0: int, height: int, width: int, data: bytes | None = None) -> np.ndarray:
     """(bands, height, width); what lies outside the raster is 0. Only the strips or tiles that the window meets are read."""
     planes = h.bands if int(h.one(PLANAR, 1)) == 2 else 1
     inner = 1 if planes > 1 else h.bands
@@ -153,7 +158,7 @@ def read_window(h: Header, row0: int, col0: int, height: int, width: int) -> np.
     r1, c1 = min(row0 + height, h.height), min(col0 + width, h.width)
     if r1 <= max(row0, 0) or c1 <= max(col0, 0):
         return out
-    with open(h.path, "rb") as f:
+    with io.BytesIO(data) if data is not None else open(h.path, "rb") as f:
         for p in range(planes):
             for br in range(max(row0, 0) // bh, (r1 - 1) // bh + 1):
                 for bc in range(max(col0, 0) // bw, (c1 - 1) // bw + 1):
@@ -173,6 +178,11 @@ def read_window(h: Header, row0: int, col0: int, height: int, width: int) -> np.
     return out
 
 
+def three_bands(window: np.ndarray) -> np.ndarray:
+    """The first three bands; with fewer than three the first one is repeated."""
+    return window[:3] if len(window) >= 3 else np.repeat(window[:1], 3, 0)
+
+
 def write_tiff(path: str, bands: np.ndarray, affine=None, epsg: int | None = None, nodata: str | None = None, rows_per_strip: int = 256) -> None:
     """(bands, height, width) as a Deflate-compressed little-endian TIFF in strips, with position, EPSG code and nodata."""
     n, height, width = bands.shape
@@ -205,7 +215,7 @@ def write_tiff(path: str, bands: np.ndarray, affine=None, epsg: int | None = Non
             extra += b + b"\0" * (len(b) % 2)
         else:
             fields.append(struct.pack("<HHI", t, codes[k], count) + b.ljust(4, b"\0"))
-    with open(path, "wb") as out:
+    with path if hasattr(path, "write") else open(path, "wb") as out:
         out.write(b"II*\0" + struct.pack("<I", 8) + struct.pack("<H", len(tags)) + b"".join(fields) + struct.pack("<I", 0) + extra + b"".join(strips))
 
 
@@ -222,7 +232,9 @@ class GeoTiffSource(DataSource):
     """format("geotiff"): (path, row, col, bands) rows, or with option mode=tiles (path, row0, col0, height, width, bands, data).
 
     Options: tile (edge of a partition's window, 1024), row0, col0, height, width (a window; the whole raster by default), and
-    mode=info for one row a file: (path, width, height, bands, dtype, epsg, affine).
+    mode=info for one row a file: (path, width, height, bands, dtype, epsg, affine), or mode=metadata for its JSON document. rgb=true
+    gives three bands whatever the file has. The path is a folder or pattern on a file system that the driver and all executors reach;
+    decoded_tiles reads any file system that Spark does.
     """
 
     @classmethod
@@ -233,6 +245,7 @@ class GeoTiffSource(DataSource):
         return {
             "pixels": "path string, row int, col int, bands array<double>",
             "tiles": "path string, row0 int, col0 int, height int, width int, bands int, dtype string, data binary",
+            "metadata": "path string, json string",
             "info": "path string, width int, height int, bands int, dtype string, epsg int, affine array<double>",
         }[self.options.get("mode", "pixels")]
 
@@ -248,7 +261,7 @@ class GeoTiffReader(DataSourceReader):
     def partitions(self) -> list[Window]:
         path = self.options["path"].removeprefix("file://")
         files = sorted(glob.glob(os.path.join(path, "*.tif*")) if os.path.isdir(path) else glob.glob(path))
-        if self.mode == "info":
+        if self.mode in ("info", "metadata"):
             return [Window(p, 0, 0, 0, 0) for p in files]
         out, t = [], int(self.options.get("tile", 1024))
         for p in files:
@@ -263,9 +276,14 @@ class GeoTiffReader(DataSourceReader):
         if self.mode == "info":
             yield (w.path, h.width, h.height, h.bands, h.dtype.name, h.epsg, [float(x) for x in h.affine])
             return
+        if self.mode == "metadata":
+            yield (w.path, json.dumps(metadata(h)))
+            return
         a = read_window(h, w.row0, w.col0, w.height, w.width)
+        if self.options.get("rgb", "false").lower() == "true":
+            a = three_bands(a)
         if self.mode == "tiles":
-            yield (w.path, w.row0, w.col0, w.height, w.width, h.bands, a.dtype.name, a.tobytes())
+            yield (w.path, w.row0, w.col0, w.height, w.width, len(a), a.dtype.name, a.tobytes())
             return
         for r in range(w.height):
             line = a[:, r].T.astype(float).tolist()
@@ -280,3 +298,70 @@ def ground_sampling(path: str, fallback: tuple[float, float]) -> tuple[float, fl
         return float(s[0]), float(s[1])
     except (OSError, ValueError, KeyError, IndexError, struct.error):
         return fallback
+
+
+def metadata(h: Header) -> dict:
+    """Size, type, position and bounds of a raster, in its own coordinates and, for a UTM zone, in longitude and latitude."""
+    a, b, c, d, e, f = (float(v) for v in h.affine)
+    x, y = [c, c + a * h.width], [f, f + e * h.height]
+    zone = h.epsg - 32600 if h.epsg and 32601 <= h.epsg <= 32660 else None
+    lonlat = None
+    if zone:
+        # the bounds of the edges, 21 points to a side, as a straight side in metres is bent in degrees
+        t = np.linspace(0, 1, 21)
+        px = np.r_[x[0] + (x[1] - x[0]) * t, np.full(21, x[1]), x[0] + (x[1] - x[0]) * t, np.full(21, x[0])]
+        py = np.r_[np.full(21, y[0]), y[0] + (y[1] - y[0]) * t, np.full(21, y[1]), y[0] + (y[1] - y[0]) * t]
+        lat, lon = latlon_arrays(px, py, zone)
+        lonlat = {"west": float(lon.min()), "south": float(lat.min()), "east": float(lon.max()), "north": float(lat.max())}
+    return {
+        "file": os.path.basename(h.path), "width": h.width, "height": h.height, "band_count": h.bands, "dtype": h.dtype.newbyteorder("=").name, "nodata": h.one(NODATA), "crs_epsg": h.epsg,
+        "transform": [a, b, c, d, e, f], "pixel_size_x_m": abs(a), "pixel_size_y_m": abs(e), "gsd_cm": round(abs(a) * 100, 4),
+        "bounds_utm": {"left": min(x), "bottom": min(y), "right": max(x), "top": max(y)}, "bounds_lonlat": lonlat,
+        "extent_m": {"width": round(max(x) - min(x), 3), "height": round(max(y) - min(y), 3)}, "compression": int(h.one(COMPRESSION, 1)), "tags": {str(k): v for k, v in h.tags.items() if isinstance(v, str)},
+    }
+
+
+def decoded_tiles(files, tile: int = 1024):
+    """(path, row0, col0, height, width, bands, dtype, data) of a binaryFile table (path, content): any file system that Spark reads. A file must fit a task."""
+    import pandas as pd
+
+    def f(it):
+        for pdf in it:
+            for path, content in zip(pdf["path"], pdf["content"]):
+                h = read_header(path, content)
+                for r in range(0, h.height, tile):
+                    for c in range(0, h.width, tile):
+                        n, m = min(tile, h.height - r), min(tile, h.width - c)
+                        a = read_window(h, r, c, n, m, content)
+                        yield pd.DataFrame({"path": [path], "row0": [r], "col0": [c], "height": [n], "width": [m], "bands": [h.bands], "dtype": [a.dtype.name], "data": [a.tobytes()]})
+
+    return files.select("path", "content").mapInPandas(f, "path string, row0 int, col0 int, height int, width int, bands int, dtype string, data binary")
+
+
+def tile_files(pixels, band: str, affine: tuple, epsg: int | None = None, tile: int = 1024, dtype: str = "float32", nodata: str = "0"):
+    """(name, row0, col0, tif): a GeoTIFF with its own position for each tile that has pixels (row, col, band); pixels not given are 0."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    def f(pdf):
+        r0, c0 = int(pdf["_tr"].iloc[0]) * tile, int(pdf["_tc"].iloc[0]) * tile
+        grid = np.zeros((1, tile, tile), dtype)
+        grid[0, pdf["row"].to_numpy() - r0, pdf["col"].to_numpy() - c0] = pdf["v"].to_numpy()
+        out = _Kept()
+        a, b, c, d, e, g = affine
+        write_tiff(out, grid, (a, b, c + a * c0 + b * r0, d, e, g + d * c0 + e * r0), epsg, nodata)
+        return pd.DataFrame({"name": [f"tile_{r0}_{c0}.tif"], "row0": [r0], "col0": [c0], "tif": [out.kept]})
+
+    p = pixels.where(F.col(band).isNotNull()).select(F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), F.col(band).cast("double").alias("v"))
+    keyed = p.withColumns({"_tr": F.floor(F.col("row") / tile).cast("int"), "_tc": F.floor(F.col("col") / tile).cast("int")})
+    return keyed.groupBy("_tr", "_tc").applyInPandas(f, "name string, row0 int, col0 int, tif binary")
+
+
+class _Kept(io.BytesIO):
+    """A file in memory whose bytes outlive its closing."""
+
+    kept = b""
+
+    def close(self) -> None:
+        self.kept = self.getvalue()
+        super().close()

@@ -7,7 +7,7 @@ import zlib
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from furrow.functions.rounding import nearest
@@ -15,8 +15,9 @@ from furrow.functions.text import decimals
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Header, nulls as empty fields."""
-    df.write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)
+    """Header, nulls as empty fields; spaces at the ends of texts are kept."""
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, nullValue="", emptyValue="", **keep).csv(path)
 
 
 def point_features(df: DataFrame, x: str, y: str, properties: Sequence[str], digits: int = 6) -> DataFrame:
@@ -87,6 +88,11 @@ def write_mask_files(images: DataFrame, folder: str) -> None:
     images.select("mask_file", "png").foreachPartition(save)
 
 
+def mask_index(images: DataFrame) -> DataFrame:
+    """(json): an index entry a mask file: id, file and box."""
+    return images.select(F.to_json(F.struct(F.col("id").alias("plant_id"), "mask_file", "bbox")).alias("json"))
+
+
 def jdbc_ready(df: DataFrame, x: str = "geo_x", y: str = "geo_y", srid: int = 32651) -> DataFrame:
     """Nested columns as JSON and the position as extended well-known text, which a database turns into a geometry."""
     nested = {c: F.to_json(c) for c, t in df.dtypes if t.startswith(("struct", "array", "map"))}
@@ -94,14 +100,31 @@ def jdbc_ready(df: DataFrame, x: str = "geo_x", y: str = "geo_y", srid: int = 32
     return df.withColumns(nested).withColumn("geom", F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), point))
 
 
+def copy_lines(df: DataFrame) -> DataFrame:
+    """(line): rows as a database's COPY reads them: tabs between fields, \\N for null, backslash, tab and line breaks escaped."""
+    def field(c: str) -> Column:
+        t = F.col(c).cast("string")
+        for a, b in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
+            t = F.replace(t, F.lit(a), F.lit(b))
+        return F.coalesce(t, F.lit("\\N"))
+
+    return df.select(F.concat_ws("\t", *[field(c) for c in df.columns]).alias("line"))
+
+
+def geometry_update(table: str, x: str = "geo_x", y: str = "geo_y", srid: int = 32651) -> str:
+    """The statement that makes points of a loaded table's positions."""
+    return f"UPDATE {table} SET geom = ST_SetSRID(ST_MakePoint({x}, {y}), {srid}) WHERE {x} IS NOT NULL AND {y} IS NOT NULL"
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], partitions: int = 8) -> None:
     """Drop and create the table; a failure raises."""
     df.coalesce(partitions).write.mode("overwrite").option("truncate", "false").jdbc(url, table, properties=properties)
 
 
-def markdown_rows(df: DataFrame, columns: dict[str, int | None]) -> DataFrame:
-    """(position, line): header, rule and a line a row; numbers in the given decimals, nulls as n/a. For reports of few rows."""
+def markdown_rows(df: DataFrame, columns: dict[str, int | None], order: Sequence[str | Column] = ()) -> DataFrame:
+    """(position, line): header, rule and a line a row in the given order; numbers in the given decimals, nulls as n/a. For reports of few rows."""
     cells = [decimals(c, d) if d is not None else F.coalesce(F.col(c).cast("string"), F.lit("n/a")) for c, d in columns.items()]
-    lines = df.select((F.monotonically_increasing_id() + 2).alias("position"), F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
+    place = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*(order or columns))) + 1  # a report has few rows
+    lines = df.select(place.cast("long").alias("position"), F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
     head = df.sparkSession.createDataFrame([(0, "| " + " | ".join(columns) + " |"), (1, "|" + "---|" * len(columns))], "position long, line string")
     return head.unionByName(lines)

@@ -19,5 +19,5 @@ def test_archetypes_keep_the_likeliest_of_three_starts(spark, monkeypatch):
 
     monkeypatch.setattr(models.GaussianMixture, "fit", counted)
     df = spark.range(200).select("id", (F.col("id") % 4 + F.rand(1) / 4).alias("a"), F.rand(2).alias("b"))
-    assert models.archetypes(df, "id", ["a", "b"], "a").count() == 200
+    assert models.archetypes(df, "id", ["a", "b"]).count() == 200
     assert len(fits) == 3
