@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from furrow.session import stage
+
 
 @dataclass(frozen=True)
 class Level:
@@ -26,20 +28,19 @@ def value_histogram(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame
 def level_statistics(hist: DataFrame, level: Level, kind: str) -> DataFrame:
     """(keys, value, support): exact median, or the most frequent value (the smallest of equals), of each group.
 
-    What a task sees of a group is its distinct values, which the caller bounds by rounding; they are sent
-    once, by the level's keys, which both the counts and the medians use. Rows with a null key belong to no group.
+    What a task sees of a group is its distinct values with their counts, which combine before the shuffle and which the caller
+    bounds by rounding. Rows with a null key belong to no group.
     """
     keys = list(level.keys)
     for k in keys:
         hist = hist.where(F.col(k).isNotNull())
-    h = hist.select(*keys, "v", "c").repartition(*keys).groupBy(*keys, "v").agg(F.sum("c").alias("c"))
     if kind == "mode":
+        h = hist.groupBy(*keys, "v").agg(F.sum("c").alias("c"))
         best = F.min(F.struct((-F.col("c")).alias("c"), F.col("v")))
-        return h.groupBy(*keys).agg(best.getField("v").alias("value"), F.sum("c").alias("support")).where(F.col("support") >= level.support)
-    up = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    h = h.withColumns({"upto": F.sum("c").over(up), "n": F.sum("c").over(Window.partitionBy(*keys))})
-    low, high = (F.min(F.when(x, F.col("v"))) for x in (2 * F.col("upto") >= F.col("n"), 2 * F.col("upto") > F.col("n")))
-    return h.groupBy(*keys).agg(((low + high) / 2).alias("value"), F.max("n").alias("support")).where(F.col("support") >= level.support)
+        out = h.groupBy(*keys).agg(best.getField("v").alias("value"), F.sum("c").alias("support"))
+    else:
+        out = hist.groupBy(*keys).agg(F.percentile("v", 0.5, F.col("c")).alias("value"), F.sum("c").alias("support"))
+    return out.where(F.col("support") >= level.support)
 
 
 def salted_left_join(rows: DataFrame, stats: DataFrame, keys: Sequence[str], spread: int) -> DataFrame:
@@ -49,20 +50,24 @@ def salted_left_join(rows: DataFrame, stats: DataFrame, keys: Sequence[str], spr
     return rows.withColumn("_salt", salt).join(wide, [*keys, "_salt"], "left").drop("_salt")
 
 
-def fill_values(targets: DataFrame, known: DataFrame, value: str, levels: Sequence[Level], kind: str = "median", spread: int = 4) -> DataFrame:
+def fill_values(targets: DataFrame, known: DataFrame, value: str, levels: Sequence[Level], kind: str = "median", spread: int = 4, most_broadcast: int = 200_000) -> DataFrame:
     """``targets`` with value, level and support: what each row is filled with, from which level.
 
     Levels are tried in order, finest first; the first one with enough support gives the value.
     ``known`` has the levels' keys and the usable values. A row whose keys are null, or whose groups all
     lack support, gets nulls: it is not filled. Targets keep every column and repeated rows;
     the names value, level and support must be free.
+
+    A level's statistics, a row a group, are counted: up to ``most_broadcast`` groups go to every task, and the targets stay
+    where they are; beyond that both are shuffled, a hot key's targets over ``spread`` tasks. ``spread`` should grow with the largest group.
     """
     every = list(dict.fromkeys(k for x in levels for k in x.keys))
     hist = value_histogram(known, value, every)
+    hist = stage(hist, "histogram") if len(levels) > 1 else hist
     out = targets
     for i, x in enumerate(levels):
-        stats = level_statistics(hist, x, kind).withColumnsRenamed({"value": f"_v{i}", "support": f"_n{i}"})
-        out = salted_left_join(out, stats, x.keys, spread)
+        stats = stage(level_statistics(hist, x, kind).withColumnsRenamed({"value": f"_v{i}", "support": f"_n{i}"}), "level")
+        out = out.join(F.broadcast(stats), list(x.keys), "left") if stats.count() <= most_broadcast else salted_left_join(out, stats, x.keys, spread)
     n = range(len(levels))
     filled = out.withColumns(
         {

@@ -50,7 +50,8 @@ def p3_table(spark: SparkSession, d: str) -> DataFrame:
     fills = cells.groupBy("plant_id").agg(*[pick(f) for f in ("osavi", "health_score", "sector_id")])
     out = rows.join(fills, "plant_id", "left")
     kept = {"osavi": F.when(usable("osavi"), F.col("osavi")), "health_score": F.when(usable("health_score"), F.col("health_score")), "sector_id": F.when(F.col("sector_id") >= -1, F.col("sector_id"))}
-    return out.select("plant_id", *[F.coalesce(c, F.col(f"_{f}").cast("int" if f == "sector_id" else "double")).alias(f) for f, c in kept.items()], *[F.col(f"_{f}").isNotNull().alias(f"{f}_filled") for f in kept])
+    whole = {f: F.coalesce(c, F.col(f"_{f}").cast("int" if f == "sector_id" else "double")) for f, c in kept.items()}
+    return out.select("plant_id", *[(c if f == "sector_id" else half_away(c, 6)).alias(f) for f, c in whole.items()], *[F.col(f"_{f}").isNotNull().alias(f"{f}_filled") for f in kept])
 
 
 _P3_ROWS = f"""r AS (SELECT plant_id, sector_id, CASE WHEN sector_id >= 0 THEN sector_id END AS sector, upper(trim(sector_label)) AS label, CAST(flight_date AS DATE) AS day,
@@ -92,5 +93,9 @@ P5_ZONES_SQL = f"""WITH p AS (SELECT plant_id, geo_x AS x, geo_y AS y, CASE WHEN
   h AS (SELECT plant_id, zone_id FROM p JOIN e ON (x1 <= x) <> (x2 <= x) AND y >= y1 + (y2 - y1) * (x - x1) / (x2 - x1) GROUP BY plant_id, zone_id HAVING count(*) % 2 = 1)
 SELECT p.plant_id, (SELECT min(zone_id) FROM h WHERE h.plant_id = p.plant_id) AS zone_id, osavi FROM p"""
 
+P3_TABLE_SQL = f"""WITH f AS (SELECT plant_id, max(value) FILTER (field_name = 'osavi') AS o, max(value) FILTER (field_name = 'health_score') AS h, max(value) FILTER (field_name = 'sector_id') AS s FROM ({P3_FILLED_SQL}) GROUP BY plant_id)
+  SELECT c.plant_id, round(coalesce(CASE WHEN osavi BETWEEN -1 AND 1 THEN osavi END, o), 6) AS osavi, round(coalesce(CASE WHEN health_score BETWEEN 0 AND 100 THEN health_score END, h), 6) AS health_score,
+    coalesce(CASE WHEN sector_id >= -1 THEN sector_id END, s::INT) AS sector_id, o IS NOT NULL AS osavi_filled, h IS NOT NULL AS health_score_filled, s IS NOT NULL AS sector_id_filled FROM ({COUNTING_SQL}) c LEFT JOIN f USING (plant_id)"""
+
 QUERIES = {f.__name__: f for f in (p3_found, p3_filled, p3_table, p5_found, p5_zones)}
-SQL = {"p3_found": f"SELECT plant_id, field_name FROM ({P3_FILLED_SQL})", "p3_filled": P3_FILLED_SQL, "p5_found": P5_FOUND_SQL, "p5_zones": P5_ZONES_SQL}
+SQL = {"p3_found": f"SELECT plant_id, field_name FROM ({P3_FILLED_SQL})", "p3_filled": P3_FILLED_SQL, "p3_table": P3_TABLE_SQL, "p5_found": P5_FOUND_SQL, "p5_zones": P5_ZONES_SQL}
