@@ -8,13 +8,20 @@ from pyspark.sql import functions as F
 from furrow.functions.indices import _c, clip
 from furrow.functions.rounding import half_away
 
-# Palettes, from the lowest bin to the highest, with the bins' edges and names.
-RED_GREEN = ("a50026", "d73027", "f46d43", "fdae61", "fee08b", "ffffbf", "d9ef8b", "a6d96a", "66bd63", "1a9850", "006837")
+# Palettes from the lowest bin to the highest, with the bins' edges and labels. They must be as they are, as the
+# colours stand in published maps and the labels in results.
+NDVI_COLOURS = ("#a50026", "#d73027", "#f46d43", "#fdae61", "#fee08b", "#ffffbf", "#d9ef8b", "#a6d96a", "#66bd63", "#1a9850", "#006837")
 NDVI_EDGES = (-0.2, 0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
-NDVI_NAMES = ("Bare soil", "Very sparse", "Sparse", "Low", "Low-moderate", "Moderate", "Moderate-good", "Good", "Healthy", "Very healthy", "Dense vegetation")
-NDRE_COLOURS = ("a50026", "d73027", "f46d43", "fdae61", "fee08b", "ffffbf", "d9ef8b", "a6d96a", "1a9850", "006837")
+NDVI_LABELS = (
+    "Bare soil (-0.2-0.0)", "Very sparse (0.0-0.1)", "Sparse (0.1-0.2)", "Low (0.2-0.3)", "Low-moderate (0.3-0.4)", "Moderate (0.4-0.5)",
+    "Moderate-good (0.5-0.6)", "Good (0.6-0.7)", "Healthy (0.7-0.8)", "Very healthy (0.8-0.9)", "Dense vegetation (0.9-1.0)",
+)
+NDRE_COLOURS = ("#a50026", "#d73027", "#f46d43", "#fdae61", "#fee08b", "#ffffbf", "#d9ef8b", "#a6d96a", "#1a9850", "#006837")
 NDRE_EDGES = (-1.0, -0.8, -0.6, -0.4, -0.2, 0.0, 0.2, 0.4, 0.6, 0.8, 1.0)
-NDRE_NAMES = ("Very low", "Low", "Low-moderate", "Moderate", "Moderate-good", "Good", "Healthy", "Very healthy", "Vigorous", "Dense vigorous")
+NDRE_LABELS = (
+    "Very low (-1.0--0.8)", "Low (-0.8--0.6)", "Low-moderate (-0.6--0.4)", "Moderate (-0.4--0.2)", "Moderate-good (-0.2-0.0)",
+    "Good (0.0-0.2)", "Healthy (0.2-0.4)", "Very healthy (0.4-0.6)", "Vigorous (0.6-0.8)", "Dense vigorous (0.8-1.0)",
+)
 
 
 class Palette:
@@ -23,9 +30,9 @@ class Palette:
     def __init__(self, colours: tuple[str, ...], edges: tuple[float, ...], names: tuple[str, ...]):
         if not len(colours) == len(edges) - 1 == len(names):
             raise ValueError("a palette needs one colour and one name a bin")
-        self.rgb = [tuple(int(c[i : i + 2], 16) for i in (0, 2, 4)) for c in colours]
+        self.rgb = [tuple(int(c[i : i + 2], 16) for i in (1, 3, 5)) for c in colours]
         self.mid = [round((a + b) / 2, 10) for a, b in zip(edges, edges[1:])]
-        self.names = [f"{n} ({a:.1f}-{b:.1f})" for n, a, b in zip(names, edges, edges[1:])]
+        self.names = list(names)
 
     def entries(self) -> Column:
         return F.array(*[F.struct(*[F.lit(float(v)).alias(k) for k, v in zip("rgb", rgb)], F.lit(i).alias("i"), F.lit(m).alias("mid"), F.lit(n).alias("name")) for i, (rgb, m, n) in enumerate(zip(self.rgb, self.mid, self.names))])
@@ -42,9 +49,9 @@ class Palette:
         return F.when(v.isNotNull(), F.array_min(F.transform(self.entries(), lambda e: F.struct(F.abs(e["mid"] - v).alias("d"), e["i"].alias("i"), e["name"].alias("name"))))["name"])
 
 
-NDVI = Palette(RED_GREEN, NDVI_EDGES, NDVI_NAMES)
+NDVI = Palette(NDVI_COLOURS, NDVI_EDGES, NDVI_LABELS)
 OSAVI = NDVI
-NDRE = Palette(NDRE_COLOURS, NDRE_EDGES, NDRE_NAMES)
+NDRE = Palette(NDRE_COLOURS, NDRE_EDGES, NDRE_LABELS)
 
 
 def hex_channel(colour: str | Column, channel: int) -> Column:

@@ -116,7 +116,10 @@ def measured_or_gap_source(spark: SparkSession, d: str) -> DataFrame:
 
 
 _HEX = "('0x' || substr(health_color, {0}, 2))::INT"
-_PAL = ", ".join(f"({i}, {r}, {g}, {b}, {m!r}::DOUBLE, '{n}')" for i, ((r, g, b), m, n) in enumerate(zip(colours.NDVI.rgb, colours.NDVI.mid, colours.NDVI.names)))
+#: The palette once more as plain values, so that the SQL shares nothing with the library.
+_PAL = """(0, 165, 0, 38, -0.1::DOUBLE, 'Bare soil (-0.2-0.0)'), (1, 215, 48, 39, 0.05::DOUBLE, 'Very sparse (0.0-0.1)'), (2, 244, 109, 67, 0.15::DOUBLE, 'Sparse (0.1-0.2)'), (3, 253, 174, 97, 0.25::DOUBLE, 'Low (0.2-0.3)'),
+  (4, 254, 224, 139, 0.35::DOUBLE, 'Low-moderate (0.3-0.4)'), (5, 255, 255, 191, 0.45::DOUBLE, 'Moderate (0.4-0.5)'), (6, 217, 239, 139, 0.55::DOUBLE, 'Moderate-good (0.5-0.6)'), (7, 166, 217, 106, 0.65::DOUBLE, 'Good (0.6-0.7)'),
+  (8, 102, 189, 99, 0.75::DOUBLE, 'Healthy (0.7-0.8)'), (9, 26, 152, 80, 0.85::DOUBLE, 'Very healthy (0.8-0.9)'), (10, 0, 104, 55, 0.95::DOUBLE, 'Dense vegetation (0.9-1.0)')"""
 
 
 @R.add(f"""WITH p(i, r, g, b, mid, name) AS (VALUES {_PAL}), c AS (SELECT DISTINCT health_color, {_HEX.format(2)} AS cr, {_HEX.format(4)} AS cg, {_HEX.format(6)} AS cb FROM {PLANTS} WHERE health_color IS NOT NULL),

@@ -128,14 +128,14 @@ _FINE = (0.5, 0.0, 400000.0, 0.0, -0.5, 1104000.0)
 @R.add(f"""WITH b AS (SELECT floor((1104000.0 - y) / 0.5::DOUBLE)::INT AS row, floor((x - 400000.0) / 0.5::DOUBLE)::INT AS col, round(avg(osavi), 9) AS band FROM {POSITIONS} WHERE osavi IS NOT NULL GROUP BY ALL),
   c AS (SELECT plant_id, floor((1104000.0 - y) / 0.5::DOUBLE)::INT AS row, floor((x - 400000.0) / 0.5::DOUBLE)::INT AS col FROM {_CANOPY}),
   j AS (SELECT c.plant_id, band, band IS NULL OR band >= 0.2 AS keep, band IS NOT NULL AS inside FROM c LEFT JOIN b ON b.row = c.row AND b.col = c.col)
-  SELECT plant_id, round(avg(CASE WHEN keep AND inside THEN band END), 6) AS value, round(1 - avg(keep::INT), 3) AS soil_fraction, count(*) FILTER (keep AND inside) AS canopy_px FROM j GROUP BY plant_id""")
+  SELECT plant_id, round(avg(CASE WHEN keep AND inside THEN band END), 9) AS value, format('{{:.3f}}', 1 - avg(keep::INT))::DOUBLE AS soil_fraction, count(*) FILTER (keep AND inside) AS canopy_px FROM j GROUP BY plant_id""")
 def canopy_osavi_aggregate(spark: SparkSession, d: str) -> DataFrame:
     """As canopy_pixel_aggregate, over half-metre means of the plants' own osavi, which the boxes meet at every size."""
     col, row = pixel_of(_FINE, "x", "y")
     grid = positions(spark, d).where("osavi IS NOT NULL").withColumns({"row": row, "col": col}).groupBy("row", "col").agg(half_away(F.avg("osavi"), 9).alias("band"))
     j = joins.raster_lookup(_canopy(spark, d, _FINE), grid, _FINE, 13600, 12000, "x", "y")
     keep = F.col("band").isNull() | (F.col("band") >= 0.2)
-    return aggregates.canopy_aggregate(j.withColumn("dist", F.lit(0.0)), "plant_id", "band", "dist", keep, F.col("band").isNotNull(), F.col("n")).select("plant_id", half_away("raw_value", 6).alias("value"), "soil_fraction", "canopy_px")
+    return aggregates.canopy_aggregate(j.withColumn("dist", F.lit(0.0)), "plant_id", "band", "dist", keep, F.col("band").isNotNull(), F.col("n")).select("plant_id", half_away("raw_value", 9).alias("value"), "soil_fraction", "canopy_px")
 
 
 @R.add(f"""WITH n AS (SELECT *, row_number() OVER (PARTITION BY sector_id ORDER BY plant_id) - 1 AS i, count(*) OVER (PARTITION BY sector_id) AS n FROM {PLANTS} WHERE sector_id >= 0)
