@@ -1,7 +1,3 @@
-import sys
-
-import pytest
-
 import __spark_entry__
 from furrow.plans import spatial_queries
 from furrow.plans.queries import HELD
@@ -15,14 +11,5 @@ def test_spatial_queries_are_registered_but_for_the_held_ones():
     assert not HELD & set(__spark_entry__.queries())
 
 
-def test_import_error_of_llm_queries_surfaces(monkeypatch):
-    import furrow.llm
-
-    monkeypatch.delattr(furrow.llm, "queries", raising=False)
-    monkeypatch.setitem(sys.modules, "furrow.llm.queries", None)
-    with pytest.raises(ImportError):
-        __spark_entry__.queries()
-
-
 def test_polygon_simplify_runs(spark):
     assert spatial_queries.polygon_simplify(spark, D).count() > 0
