@@ -44,10 +44,25 @@ def level_statistics(hist: DataFrame, level: Level, kind: str) -> DataFrame:
 
 
 def salted_left_join(rows: DataFrame, stats: DataFrame, keys: Sequence[str], spread: int) -> DataFrame:
-    """Left join on keys; ``stats`` is repeated ``spread`` times so that a hot key's rows meet it in as many tasks."""
+    """Left join on keys; ``stats`` is repeated ``spread`` times so that a hot key's rows meet it in as many tasks.
+
+    Both sides are shuffled, by the hint: left to itself the planner takes the packed size of the staged file for that of the
+    repeated rows, and sends them through the driver.
+    """
     salt = F.pmod(F.xxhash64(*rows.columns), F.lit(spread))
     wide = stats.withColumn("_salt", F.explode(F.array(*[F.lit(i).cast("long") for i in range(spread)])))
-    return rows.withColumn("_salt", salt).join(wide, [*keys, "_salt"], "left").drop("_salt")
+    return rows.withColumn("_salt", salt).join(wide.hint("merge"), [*keys, "_salt"], "left").drop("_salt")
+
+
+#: Bytes of statistics that the driver and every task may hold at once, over all levels of one filling.
+MOST_BYTES = 2 << 20
+
+
+def held_bytes(df: DataFrame) -> tuple[int, int]:
+    """Rows, and about the bytes they take as a broadcast relation: eight a column, texts, and 48 a row for its place in the map."""
+    texts = [F.octet_length(f.name) for f in df.schema.fields if f.dataType.typeName() == "string"]
+    n, text = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(0))), F.lit(0))).first()
+    return n, n * (8 * len(df.columns) + 48) + text
 
 
 def fill_values(targets: DataFrame, known: DataFrame, value: str, levels: Sequence[Level], kind: str = "median", spread: int = 4, most_broadcast: int = 200_000) -> DataFrame:
@@ -60,14 +75,19 @@ def fill_values(targets: DataFrame, known: DataFrame, value: str, levels: Sequen
 
     A level's statistics, a row a group, are counted: up to ``most_broadcast`` groups go to every task, and the targets stay
     where they are; beyond that both are shuffled, a hot key's targets over ``spread`` tasks. ``spread`` should grow with the largest group.
+    The levels sent to every task pass through the driver and stay there together, so they share ``MOST_BYTES``; the number of groups grows with the input.
     """
     every = list(dict.fromkeys(k for x in levels for k in x.keys))
     hist = value_histogram(known, value, every)
     hist = stage(hist, "histogram") if len(levels) > 1 else hist
-    out = targets
+    out, left = targets, MOST_BYTES
     for i, x in enumerate(levels):
         stats = stage(level_statistics(hist, x, kind).withColumnsRenamed({"value": f"_v{i}", "support": f"_n{i}"}), "level")
-        out = out.join(F.broadcast(stats), list(x.keys), "left") if stats.count() <= most_broadcast else salted_left_join(out, stats, x.keys, spread)
+        groups, size = held_bytes(stats)
+        if groups <= most_broadcast and size <= left:
+            out, left = out.join(F.broadcast(stats), list(x.keys), "left"), left - size
+        else:
+            out = salted_left_join(out, stats, x.keys, spread)
     n = range(len(levels))
     filled = out.withColumns(
         {

@@ -29,3 +29,13 @@ def test_finest_level_with_support(spark, most, kind):
     for i, g, d, _ in targets:
         assert got[i] == want.get(("fine", (g, d))) or got[i] == want.get(("coarse", (g,)), (None, None, None)) and ("fine", (g, d)) not in want
     assert fill_values(df.limit(0), spark.createDataFrame(known, "g string, day int, value double"), "value", LEVELS, kind).count() == 0
+
+
+def test_levels_sent_to_every_task_share_a_budget_of_bytes(spark):
+    known = spark.range(60_000).selectExpr("concat('group ', id) AS g", "cast(id % 7 AS int) AS day", "cast(id AS double) AS value")
+    targets = spark.createDataFrame([(0, "group 59999", 2), (1, "group 59999", 9), (2, "none", 2)], "id int, g string, day int")
+    made = fill_values(targets, known, "value", (Level("fine", ("g", "day")), Level("coarse", ("g",)), Level("day", ("day",))))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 1 and plan.count("strategy=merge") == 2  # seven groups; of the others 60,000 each
+    assert made._jdf.queryExecution().sparkPlan().toString().count("BroadcastHashJoin") == 1
+    assert {r.id: (r.value, r.level) for r in made.collect()} == {0: (59999.0, "fine"), 1: (59999.0, "coarse"), 2: (30000.5, "day")}
