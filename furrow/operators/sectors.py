@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from furrow.functions.rounding import half_away
 from furrow.operators.joins import knn_join
+from furrow.operators.near import kth_distance, reach_tree
 from furrow.session import running_total, stage
 
 
@@ -173,99 +174,59 @@ def simplified_ring(ring: list, eps: float = 2.0) -> list:
 def hdbscan(x: np.ndarray, y: np.ndarray, min_cluster: int, min_samples: int | None = None) -> np.ndarray:
     """Labels from 0, noise -1: mutual-reachability spanning tree, condensed by cluster size, chosen by excess of mass.
 
-    Exact, in memory, with n^2 distances in rows of n: for one scene. The number of samples defaults to min_cluster.
+    Exact, in memory, for one scene; near points only are compared, so it takes about n log n. The number of samples defaults to min_cluster.
     """
     n = len(x)
     if n < min_cluster or n < 2:
         return np.full(n, -1)
     k = min(n - 1, (min_samples or min_cluster) - 1)
-    core = np.empty(n)
-    step = max(1, 4_000_000 // n)
-    for a in range(0, n, step):
-        d = np.hypot(x[a : a + step, None] - x, y[a : a + step, None] - y)
-        core[a : a + step] = np.partition(d, k, 1)[:, k]
-    # Prim's algorithm on the implicit complete graph
-    best, source, inside = np.full(n, np.inf), np.zeros(n, np.int64), np.zeros(n, bool)
-    at, tree = 0, np.empty((n - 1, 3))
-    for i in range(n - 1):
-        inside[at] = True
-        d = np.maximum(np.hypot(x - x[at], y - y[at]), np.maximum(core, core[at]))
-        closer = (d < best) & ~inside
-        best[closer], source[closer] = d[closer], at
-        nxt = int(np.where(inside, np.inf, best).argmin())
-        tree[i] = source[nxt], nxt, best[nxt]
-        at = nxt
-    tree = tree[np.argsort(tree[:, 2], kind="stable")]
-    # single linkage
-    parent, size, node = np.arange(2 * n - 1), np.ones(2 * n - 1, np.int64), np.arange(n)
-    left, right, height = np.full(2 * n - 1, -1), np.full(2 * n - 1, -1), np.zeros(2 * n - 1)
-
-    def find(v: int) -> int:
-        while parent[v] != v:
-            parent[v] = parent[parent[v]]
-            v = parent[v]
-        return v
-
-    for i, (a, b, h) in enumerate(tree):
-        ra, rb, new = find(int(a)), find(int(b)), n + i
-        left[new], right[new], height[new], size[new] = ra, rb, h, size[ra] + size[rb]
-        parent[ra] = parent[rb] = new
-    del node
-    # condensed tree: a split counts where both sides are large enough
-    birth, stability, members, children = {0: 0.0}, {0: 0.0}, {0: []}, {0: []}
-    todo, count = [(2 * n - 2, 0)], 1
-    lam = lambda h: 1 / h if h > 0 else 1e12
-
-    def leaves(v: int) -> list[int]:
-        out, stack = [], [v]
-        while stack:
-            u = stack.pop()
-            if u < n:
-                out.append(u)
-            else:
-                stack += [left[u], right[u]]
-        return out
-
-    while todo:
-        v, c = todo.pop()
-        if v < n:
-            members[c].append((v, birth[c]))
-            continue
-        here, a, b = lam(height[v]), left[v], right[v]
-        big = [u for u in (a, b) if size[u] >= min_cluster]
-        if len(big) == 2:
-            for u in big:
-                birth[count], stability[count], members[count], children[count] = here, 0.0, [], []
-                children[c].append(count)
-                stability[c] += (here - birth[c]) * size[u]
-                todo.append((int(u), count))
-                count += 1
-        else:
-            for u in (a, b):
-                if u in big:
-                    todo.append((int(u), c))
-                else:
-                    gone = leaves(int(u))
-                    members[c] += [(m, here) for m in gone]
-                    stability[c] += (here - birth[c]) * len(gone)
-    chosen, value = set(), {}
-    for c in range(count - 1, -1, -1):
-        below = sum(value[k_] for k_ in children[c])
-        if c and (not children[c] or stability[c] >= below):
-            value[c] = stability[c]
-            chosen.add(c)
-        else:
-            value[c] = below
-    labels, number = np.full(n, -1), 0
-    stack = [(0, -1)]
-    while stack:
-        c, lab = stack.pop()
-        if lab < 0 and c in chosen:
-            lab, number = number, number + 1
-        if lab >= 0:
-            labels[[m for m, _ in members[c]]] = lab
-        stack += [(k_, lab) for k_ in sorted(children[c], reverse=True)]
-    return labels
+    a, b, h = reach_tree(x, y, kth_distance(x, y, k))
+    # single linkage: node n + i joins left[i] and right[i]
+    up, left, right = list(range(2 * n - 1)), [], []
+    for i, (u, v) in enumerate(zip(a.tolist(), b.tolist()), n):
+        while up[u] != u:
+            up[u] = u = up[up[u]]
+        while up[v] != v:
+            up[v] = v = up[up[v]]
+        left.append(u)
+        right.append(v)
+        up[u] = up[v] = i
+    size = [1] * n
+    for u, v in zip(left, right):
+        size.append(size[u] + size[v])
+    left, right, size = np.array(left), np.array(right), np.array(size)
+    parent = np.arange(2 * n - 1)
+    parent[left] = parent[right] = np.arange(n, 2 * n - 1)
+    # condensed tree: a split counts where both sides are large enough, and starts two clusters
+    big = size >= min_cluster
+    split = big[left] & big[right]
+    start = np.zeros(2 * n - 1, bool)
+    start[left[split]] = start[right[split]] = start[-1] = True
+    top = np.where(start, np.arange(2 * n - 1), parent)
+    while not start[top].all():
+        top = top[top]
+    starts = np.flatnonzero(start)[::-1]  # a cluster's number is above that of the one around it
+    number = np.full(2 * n - 1, -1)
+    number[starts] = np.arange(len(starts))
+    cluster = number[top]
+    lam = np.where(h > 0, 1 / np.where(h > 0, h, 1.0), 1e12)
+    around = cluster[parent[starts]]
+    birth = np.r_[0.0, lam[parent[starts[1:]] - n]]
+    inner = cluster[n:]
+    gone = size[left] * (split | ~big[left]) + size[right] * (split | ~big[right])
+    stability = np.bincount(inner, np.where(big[n:], (lam - birth[inner]) * gone, 0.0), len(starts)).tolist()
+    below, chosen, inside = [0.0] * len(starts), [False] * len(starts), [False] * len(starts)
+    around = around.tolist()
+    for c in range(len(starts) - 1, 0, -1):
+        chosen[c] = not inside[c] or stability[c] >= below[c]
+        below[around[c]] += stability[c] if chosen[c] else below[c]
+        inside[around[c]] = True
+    labels, found = [-1] * len(starts), 0
+    for c in range(1, len(starts)):
+        labels[c] = labels[around[c]]
+        if labels[c] < 0 and chosen[c]:
+            labels[c], found = found, found + 1
+    return np.array(labels)[cluster[:n]]
 
 
 def density_sectors(points: DataFrame, id_col: str, x: str, y: str, scene: str, min_cluster: int = 10) -> DataFrame:

@@ -136,7 +136,7 @@ LEAST_SECTOR, ACROSS, ALONG = 25, 3.0, 3.25
 
 def _identified(spark: SparkSession, d: str) -> DataFrame:
     """Density sectors, noise rescued into near sectors, sectors renumbered, rows and columns, ids."""
-    p = positions(spark, d).select(F.col("plant_id").alias("id"), "x", "y", F.lit("scene").alias("scene"))
+    p = stage(positions(spark, d).select(F.col("plant_id").alias("id"), "x", "y", F.lit("scene").alias("scene")), "positions")
     found = stage(p.join(density_sectors(p, "id", "x", "y", "scene", LEAST_SECTOR).select("id", "sector"), "id"), "sectors")
     near = spacing(found, "id", "x", "y", 8, 2.0).first()["nearest"] or 1.0
     saved = rescued_noise(found.where("sector = -1"), sector_frames(found, "sector", "x", "y"), "id", "x", "y", ACROSS * near, ALONG * near)
