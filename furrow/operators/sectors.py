@@ -230,16 +230,17 @@ def hdbscan(x: np.ndarray, y: np.ndarray, min_cluster: int, min_samples: int | N
 
 
 def density_sectors(points: DataFrame, id_col: str, x: str, y: str, scene: str, min_cluster: int = 10) -> DataFrame:
-    """(scene, id, sector): HDBSCAN inside each scene, noise -1. A scene is one survey's points and must fit a task."""
+    """(scene, id, sector, nearest): HDBSCAN inside each scene, noise -1, and the distance to the nearest other point. A scene is one survey's points and must fit a task."""
     p = points.select(F.col(id_col).alias("id"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"), F.col(scene).alias("scene"))
     p = p.where((F.abs("x") < float("inf")) & (F.abs("y") < float("inf")) & F.col("scene").isNotNull())
 
     def f(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id", kind="stable")
-        return pdf[["scene", "id"]].assign(sector=hdbscan(pdf["x"].to_numpy(), pdf["y"].to_numpy(), min_cluster))
+        x, y = pdf["x"].to_numpy(), pdf["y"].to_numpy()
+        return pdf[["scene", "id"]].assign(sector=hdbscan(x, y, min_cluster), nearest=kth_distance(x, y, 1) if len(x) > 1 else None)
 
     kinds = {s.name: s.dataType.simpleString() for s in p.schema.fields}
-    return p.groupBy("scene").applyInPandas(f, f"scene {kinds['scene']}, id {kinds['id']}, sector int")
+    return p.groupBy("scene").applyInPandas(f, f"scene {kinds['scene']}, id {kinds['id']}, sector int, nearest double")
 
 
 def subsampled(pixels: DataFrame, keys: list[str], order: str, most: int = 200) -> DataFrame:

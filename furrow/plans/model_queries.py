@@ -13,7 +13,7 @@ from furrow.functions.ladders import floors, growth_stage
 from furrow.functions.rounding import half_away
 from furrow.operators.aggregates import sector_frames
 from furrow.operators.models import counted_split, impute_by_boosting, predict_stage, train_stage_forest
-from furrow.operators.sectors import density_sectors, rescued_noise, spacing
+from furrow.operators.sectors import density_sectors, rescued_noise
 from furrow.plans.base import PLANTS, POSITIONS, Registry, plants, positions
 from furrow.plans.crops import table
 from furrow.plans.health import cohort_health, plant_ids, rank_health
@@ -137,8 +137,8 @@ LEAST_SECTOR, ACROSS, ALONG = 25, 3.0, 3.25
 def _identified(spark: SparkSession, d: str) -> DataFrame:
     """Density sectors, noise rescued into near sectors, sectors renumbered, rows and columns, ids."""
     p = stage(positions(spark, d).select(F.col("plant_id").alias("id"), "x", "y", F.lit("scene").alias("scene")), "positions")
-    found = stage(p.join(density_sectors(p, "id", "x", "y", "scene", LEAST_SECTOR).select("id", "sector"), "id"), "sectors")
-    near = spacing(found, "id", "x", "y", 8, 2.0).first()["nearest"] or 1.0
+    found = stage(p.join(density_sectors(p, "id", "x", "y", "scene", LEAST_SECTOR).select("id", "sector", "nearest"), "id"), "sectors")
+    near = found.agg(F.percentile(half_away("nearest", 6), 0.5)).first()[0] or 1.0  # as spacing has it
     saved = rescued_noise(found.where("sector = -1"), sector_frames(found, "sector", "x", "y"), "id", "x", "y", ACROSS * near, ALONG * near)
     whole = found.join(saved.withColumnRenamed("sector", "_saved"), "id", "left").select("id", "x", "y", F.coalesce("_saved", "sector").alias("sector"))
     return plant_ids(stage(whole, "whole"))

@@ -46,3 +46,13 @@ def test_density_of_many_points_is_quick():
     labels = sectors.hdbscan(x, y, 25)
     assert time.process_time() - began < 60  # all pairs took minutes
     assert (labels >= 0).mean() > 0.5
+
+
+def test_nearest_distance_comes_with_the_sectors(spark):
+    rng = np.random.default_rng(9)
+    rows = [(f"p{i}", float(a), float(b), "one") for i, (a, b) in enumerate(rng.uniform(0, 20, (300, 2)))] + [("p0 again", 5.0, 5.0, "two")]
+    df = spark.createDataFrame(rows, "id string, x double, y double, scene string")
+    got = {r.id: r.nearest for r in sectors.density_sectors(df, "id", "x", "y", "scene", 10).collect()}
+    assert got.pop("p0 again") is None
+    want = sectors.spacing(df.where("scene = 'one'"), "id", "x", "y", 8, 2.0).first()["nearest"]
+    assert abs(float(np.median([round(v, 6) for v in got.values()])) - want) < 1.1e-6
