@@ -77,24 +77,25 @@ def blend(*parts: tuple[float, Column]) -> Column:
 def average_rank_score(df: DataFrame, value: str, out: str, partition: list[str] | None = None) -> DataFrame:
     """Percentile rank among the non-null values, ties averaged, times 100.
 
-    Ranks come from the counts of distinct values: one aggregate, a running sum over the distinct
-    values and a join back, so rows themselves are never sorted in one task. Nulls get null.
+    Values fall into 1,024 buckets between the ends, whose counts are summed; a window ranks the rows inside a bucket,
+    so all rows are never sorted in one task. ``df`` is read three times. Nulls get null.
     """
     keys = partition or []
     key = [F.col(k) for k in keys]
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    # the distinct values are summed in two steps: 1,024 buckets between the ends, then values inside a bucket
-    ends = counts.agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-    bucket = F.when(F.col("_high") > F.col("_low"), F.floor((F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low")) * 1023)).otherwise(0)
-    counts = counts.crossJoin(F.broadcast(ends)).withColumn("_b", bucket).drop("_low", "_high")  # one row
-    total = counts.groupBy(*keys, "_b").agg(F.sum("_c").alias("_t"))
-    before = Window.partitionBy(*key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    total = total.withColumn("_o", F.coalesce(F.sum("_t").over(before), F.lit(0))).withColumn("_n", F.sum("_t").over(Window.partitionBy(*key))).drop("_t")
-    inner = Window.partitionBy(*key, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counts.withColumn("_l", F.coalesce(F.sum("_c").over(inner), F.lit(0))).join(total, [*keys, "_b"])
-    rank = (F.col("_o") + F.col("_l") + (F.col("_c") + 1) / 2) / F.col("_n") * 100.0
-    ranks = ranks.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_v").alias("_rv"), rank.alias(out))
-    on = df[value] == ranks["_rv"]
+    v, low, high = F.col(value), F.col("_low"), F.col("_high")
+    ends = df.agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+    within = F.when(high > low, F.floor((v - low) / (high - low) * 1023)).otherwise(0)
+    # rows without a value are dealt to buckets below all others, where they count for nothing
+    bucket = F.when(v.isNull(), -1 - F.pmod(F.xxhash64(*df.columns), F.lit(1024))).otherwise(within)
+    cut = lambda rows, by: rows.crossJoin(F.broadcast(ends)).withColumn("_b", by).drop("_low", "_high")  # noqa: E731  one row
+    total = cut(df.select(*keys, value).where(v.isNotNull()), within).groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_b").alias("_kb")).agg(F.count(F.lit(1)).alias("_t"))
+    before = Window.partitionBy(*[f"_k_{k}" for k in keys]).orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)
+    total = total.withColumns({"_o": F.coalesce(F.sum("_t").over(before), F.lit(0)), "_n": F.sum("_t").over(Window.partitionBy(*[f"_k_{k}" for k in keys]))}).drop("_t")
+    inner = Window.partitionBy(*key, "_b")
+    ranks = cut(df, bucket).withColumns({"_l": F.rank().over(inner.orderBy(value)) - 1, "_c": F.count(F.lit(1)).over(Window.partitionBy(*key, "_b", value))})
+    on = F.col("_b") == F.col("_kb")
     for k in keys:
-        on = on & df[k].eqNullSafe(ranks[f"_k_{k}"])
-    return df.join(ranks, on, "left").drop("_rv", *[f"_k_{k}" for k in keys])
+        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    ranks = ranks.join(total if keys else F.broadcast(total), on, "left")  # a row a bucket
+    rank = (F.col("_o") + F.col("_l") + (F.col("_c") + 1) / 2) / F.col("_n") * 100.0
+    return ranks.select(*df.columns, F.when(v.isNotNull(), rank).alias(out))

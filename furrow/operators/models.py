@@ -3,23 +3,23 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.clustering import GaussianMixture
-from pyspark.ml.feature import Imputer, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from furrow.functions.rounding import half_even
 from furrow.operators.boosting import fit_boosting
 from furrow.operators.joins import neighbour_means
-from furrow.session import stage
+from furrow.operators.mixture import GaussianMixture, Mixture, first_mixture, packed_blocks, predicted_sums, scales, together
+from furrow.session import drop_staged, stage
 
 
 def bounded_sample(df: DataFrame, key: str, rows: int, seed: int = 42) -> DataFrame:
@@ -124,19 +124,56 @@ def archetypes(df: DataFrame, id_col: str, features: Sequence[str], k: int = 4,
     """
     f = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in features]
     rows = df.select(F.col(id_col).alias("id"), *[c.alias(n) for c, n in zip(f, features)])
+    found = fit_archetypes(rows, "id", features, k, seed, least, starts)
+    if found is None:
+        return rows.select("id", F.lit(-1).alias("archetype"), F.lit(None).cast("double").alias("confidence"))
+
+    def name(it):
+        for pdf in it:
+            number, confidence = found.of(pdf[list(features)].to_numpy(dtype=float))
+            yield pd.DataFrame({"id": pdf["id"], "archetype": number, "confidence": confidence})
+
+    return rows.mapInPandas(name, f"id {rows.schema['id'].dataType.simpleString()}, archetype int, confidence double").withColumn("confidence", F.nanvl("confidence", F.lit(None).cast("double")))
+
+
+@dataclass(frozen=True)
+class Archetypes:
+    """A fitted mixture, the scale of its features, and each component's number."""
+
+    shift: np.ndarray
+    scale: np.ndarray
+    mixture: Mixture
+    number: np.ndarray
+
+    def of(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number and share of each row's likeliest component, in three decimals; -1 and NaN where a feature is missing."""
+        number, confidence = np.full(len(x), -1, np.int32), np.full(len(x), np.nan)
+        whole = ~np.isnan(x).any(1)
+        if whole.any():
+            share = self.mixture.posteriors((x[whole] - self.shift) * self.scale)
+            number[whole], confidence[whole] = self.number[share.argmax(1)], np.rint(share.max(1) * 1000) / 1000
+        return number, confidence
+
+
+def fit_archetypes(rows: DataFrame, id_col: str, features: Sequence[str], k: int = 4, seed: int = 42, least: int = 50, starts: int = 3) -> Archetypes | None:
+    """The mixture of ``archetypes``, fitted on all complete rows; None if they are fewer than ``least``. It reads ``rows`` several times, and packs them once for its passes."""
     whole = rows.na.drop(subset=list(features))
     if whole.count() < least:
-        return rows.select("id", F.lit(-1).alias("archetype"), F.lit(None).cast("double").alias("confidence"))
-    scaled = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="_raw"), StandardScaler(inputCol="_raw", outputCol="features", withMean=True)]).fit(whole).transform(whole)
-    fits = [GaussianMixture(k=k, seed=seed + i, maxIter=60, featuresCol="features").fit(scaled) for i in range(starts)]
-    model = max(fits, key=lambda m: m.summary.logLikelihood)
-    made = model.transform(scaled)
-    level = sum((F.avg(c) for c in features[1:]), F.avg(features[0]))
-    means = {r["prediction"]: r["m"] for r in made.groupBy("prediction").agg(level.alias("m")).collect()}  # k rows
-    order = sorted(range(k), key=lambda c: (c not in means, means.get(c, 0.0), c))
-    number = F.element_at(F.array(*[F.lit(order.index(c)) for c in range(k)]), F.col("prediction") + 1)
-    got = made.select("id", number.alias("archetype"), half_even(F.array_max(vector_to_array("probability")), 3).alias("confidence"))
-    return rows.select("id").join(got, "id", "left").fillna(-1, ["archetype"])
+        return None
+    shift, scale = scales(whole, features)
+    blocks = packed_blocks(whole, features, shift, scale)
+    fits = []
+    for i in range(starts):
+        few = bounded_sample(whole.select(id_col, *features), id_col, 5 * k, seed + i).collect()  # only where it begins; the passes take all rows
+        first = first_mixture((np.array([[r[f] for f in features] for r in few]) - shift) * scale, k)
+        fits.append(GaussianMixture(first, 60).fit(blocks))
+    fits = together(fits)
+    best = max(fits, key=lambda m: m.log_likelihood)
+    s = predicted_sums(blocks, best)
+    drop_staged(blocks)
+    raw = shift + s[:, 1:] / np.maximum(s[:, :1], 1) * np.divide(1.0, scale, out=np.zeros(len(scale)), where=scale > 0)
+    order = sorted(range(k), key=lambda c: (s[c, 0] == 0, raw[c].sum() if s[c, 0] else 0.0, c))
+    return Archetypes(shift, scale, best, np.array([order.index(c) for c in range(k)], np.int32))
 
 
 # -- isolation forest -------------------------------------------------------------------------------
@@ -155,6 +192,14 @@ class IsolationForest:
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """0.5 - 2^(-mean depth / expected depth): low for outliers."""
+        if x.shape[1] == 2:
+            total = self._looked_up(x)
+        else:
+            total = self._walked(x)
+        return 0.5 - 2.0 ** (-total / len(self.feature) / max(expected_depth(self.sample), 1e-9))
+
+    def _walked(self, x: np.ndarray) -> np.ndarray:
+        """The sum of the depths over all trees, level by level."""
         total = np.zeros(len(x))
         for t in range(len(self.feature)):
             at = np.zeros(len(x), np.int64)
@@ -166,7 +211,38 @@ class IsolationForest:
                 low = x[np.arange(len(x)), np.maximum(f, 0)] <= self.cut[t, at]
                 at = np.where(go, np.where(low, self.left[t, at], self.right[t, at]), at)
             total += self.depth[t, at]
-        return 0.5 - 2.0 ** (-total / len(self.feature) / max(expected_depth(self.sample), 1e-9))
+        return total
+
+    @cached_property
+    def _tables(self) -> tuple[list[np.ndarray], list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+        """For two features: all trees' cuts of each; and for each tree, from the place among all cuts to that among its own,
+        and the depth of each cell that its own cuts make."""
+        cuts = [np.unique(self.cut[self.feature == f]) for f in (0, 1)]
+        trees = []
+        for t in range(len(self.feature)):
+            own = [np.unique(self.cut[t][self.feature[t] == f]) for f in (0, 1)]
+            depth = np.empty((len(own[0]) + 1, len(own[1]) + 1))
+            todo = [(0, 0, len(own[0]) + 1, 0, len(own[1]) + 1)]
+            while todo:
+                at, a, b, c, d = todo.pop()
+                f = self.feature[t, at]
+                if f < 0:
+                    depth[a:b, c:d] = self.depth[t, at]
+                    continue
+                m = int(np.searchsorted(own[f], self.cut[t, at])) + 1
+                todo += [(self.left[t, at], a, m, c, d), (self.right[t, at], m, b, c, d)] if f == 0 else [(self.left[t, at], a, b, c, m), (self.right[t, at], a, b, m, d)]
+            place = [np.r_[0, np.searchsorted(o, every, "right")].astype(np.int32) for o, every in zip(own, cuts)]
+            trees.append((place[0] * depth.shape[1], place[1], depth.ravel()))
+        return cuts, trees
+
+    def _looked_up(self, x: np.ndarray) -> np.ndarray:
+        """As _walked, by two binary searches a row and a table a tree."""
+        cuts, trees = self._tables
+        i, j = (np.searchsorted(c, x[:, f], "left") for f, c in enumerate(cuts))
+        total = np.zeros(len(x))
+        for rows, columns, depth in trees:
+            total += depth[rows[i] + columns[j]]
+        return total
 
 
 def expected_depth(n: int | float) -> float:
@@ -209,6 +285,23 @@ def isolation_scores(df: DataFrame, id_col: str, features: Sequence[str], cohort
     """
     c = F.col(cohort).cast("string") if cohort else F.lit("all")
     rows = df.select(F.col(id_col).alias("id"), c.alias("cohort"), *[F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double")).alias(f) for f in features]).where(F.col("cohort").isNotNull())
+    forests, medians = isolation_forests(rows, features, trees, sample, seed, least, most_cohorts)
+
+    def f(it):
+        for pdf in it:
+            score = np.full(len(pdf), np.nan)
+            for name, g in pdf.reset_index(drop=True).groupby("cohort"):
+                if name in forests:
+                    x = g[list(features)].to_numpy(dtype=float)
+                    score[g.index] = forests[name].score(np.where(np.isnan(x), medians[name], x))
+            yield pdf[["id", "cohort"]].assign(score=score)
+
+    out = rows.mapInPandas(f, f"id {rows.schema['id'].dataType.simpleString()}, cohort string, score double")
+    return out.withColumn("score", F.nanvl("score", F.lit(None).cast("double")))
+
+
+def isolation_forests(rows: DataFrame, features: Sequence[str], trees: int = 100, sample: int = 256, seed: int = 42, least: int = 15, most_cohorts: int = 100) -> tuple[dict[str, IsolationForest], dict[str, np.ndarray]]:
+    """The forests of ``isolation_scores`` over (id, cohort, features...), and the medians that stand for missing features, by cohort."""
     stats = rows.groupBy("cohort").agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(f, 0.5, 10_000).alias(f) for f in features]).limit(most_cohorts + 1).collect()
     if len(stats) > most_cohorts:
         raise ValueError("too many cohorts for a forest each")
@@ -226,18 +319,7 @@ def isolation_scores(df: DataFrame, id_col: str, features: Sequence[str], cohort
         rate = F.element_at(F.create_map(*[F.lit(x) for p in rates.items() for x in p]), F.col("cohort"))
         took = rows.where(u < rate).groupBy("cohort").applyInPandas(grow, "cohort string, forest binary").collect()  # a forest a cohort
         forests = {r["cohort"]: IsolationForest(*pickle.loads(r["forest"])) for r in took}
-
-    def f(it):
-        for pdf in it:
-            score = np.full(len(pdf), np.nan)
-            for name, g in pdf.reset_index(drop=True).groupby("cohort"):
-                if name in forests:
-                    x = g[list(features)].to_numpy(dtype=float)
-                    score[g.index] = forests[name].score(np.where(np.isnan(x), medians[name], x))
-            yield pdf[["id", "cohort"]].assign(score=score)
-
-    out = rows.mapInPandas(f, f"id {rows.schema['id'].dataType.simpleString()}, cohort string, score double")
-    return out.withColumn("score", F.nanvl("score", F.lit(None).cast("double")))
+    return forests, medians
 
 
 def outliers(scores: DataFrame, contamination: float, by_cohort: bool = False) -> DataFrame:
@@ -248,6 +330,40 @@ def outliers(scores: DataFrame, contamination: float, by_cohort: bool = False) -
     return joined.withColumn("outlier", F.coalesce(F.col("score") < F.col("_cut"), F.lit(False))).drop("_cut")
 
 
+def with_archetypes(rows: DataFrame, id_col: str, features: Sequence[str], contamination: float, least: int) -> Callable[[DataFrame], DataFrame]:
+    """What adds ``outlier``, ``archetype`` and ``confidence`` to rows, as outliers of ``isolation_scores`` and ``archetypes`` fitted on the complete ones.
+
+    Both models are fitted first and applied together in one pass, so nothing is joined. ``rows`` is read several times, so stage it; features are doubles without NaN.
+    """
+    whole = rows.na.drop(subset=list(features)).select(F.col(id_col).alias("id"), F.lit("all").alias("cohort"), *features)
+    forests, _ = isolation_forests(whole, features, least=least)
+    found, forest, cut = fit_archetypes(whole, "id", features), forests.get("all"), -np.inf
+    if forest is not None:
+
+        def scored(it):
+            for pdf in it:
+                yield pd.DataFrame({"score": forest.score(pdf.to_numpy(dtype=float))})
+
+        cut = whole.select(*features).mapInPandas(scored, "score double").agg(F.percentile_approx("score", contamination, 10_000)).first()[0]
+
+    def add(it):
+        for b in it:
+            x = np.stack([b[f].cast("double").to_numpy(zero_copy_only=False) for f in features], 1)
+            whole = ~np.isnan(x).any(1)
+            outlier, number, confidence = np.zeros(len(x), bool), np.full(len(x), -1, np.int32), np.full(len(x), np.nan)
+            if forest is not None and whole.any():
+                outlier[whole] = forest.score(x[whole]) < cut
+            if found is not None:
+                number, confidence = found.of(x)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(outlier), pa.array(number), pa.array(confidence, mask=np.isnan(confidence))], [*b.schema.names, "outlier", "archetype", "confidence"])
+
+    def named(df: DataFrame) -> DataFrame:
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        return df.mapInArrow(add, f"{fields}, outlier boolean, archetype int, confidence double")
+
+    return named
+
+
 def imputed_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing values of numeric columns as the column's (approximate) median."""
     return Imputer(inputCols=list(columns), outputCols=list(columns), strategy="median").fit(df).transform(df)

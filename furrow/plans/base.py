@@ -38,15 +38,17 @@ def _within(c: str, low: float = -1.0, high: float = 1.0):
     return F.when(F.col(c).between(low, high), F.col(c)).alias(c)
 
 
-def plants(spark: SparkSession, d: str) -> DataFrame:
-    """Counting rows with unusable values as null."""
-    rows = counting_rows(table(spark, d, "pineapple_crops"), "sector_id", "sector_label", "predicted_growth_stage", "geo_x", "geo_y", "osavi", "ndvi", "ndre", "health_score", "health_color", "canopy_area", "area_px", "pixel_x", "pixel_y", "flight_date")
+def plants(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Counting rows with unusable values as null; all columns, or plant_id, x, y and those named, as only these travel."""
     at = usable_position()
-    return rows.select(
-        "plant_id", F.when(usable("sector_id") | (F.col("sector_id") == -1), F.col("sector_id")).alias("sector_id"), label_key().alias("sector_label"), stage_name().alias("stage"),
-        F.when(at, F.col("geo_x")).alias("x"), F.when(at, F.col("geo_y")).alias("y"), _within("osavi"), _within("ndvi"), _within("ndre"), _within("health_score", 0.0, 100.0),
-        "health_color", _within("canopy_area", 0.0, 1000.0), "area_px", "pixel_x", "pixel_y", "flight_date",
-    )
+    made = {
+        "sector_id": (F.when(usable("sector_id") | (F.col("sector_id") == -1), F.col("sector_id")).alias("sector_id"), "sector_id"), "sector_label": (label_key().alias("sector_label"), "sector_label"), "stage": (stage_name().alias("stage"), "predicted_growth_stage"),
+        "x": (F.when(at, F.col("geo_x")).alias("x"), "geo_x"), "y": (F.when(at, F.col("geo_y")).alias("y"), "geo_y"), **{c: (_within(c), c) for c in ("osavi", "ndvi", "ndre")}, "health_score": (_within("health_score", 0.0, 100.0), "health_score"),
+        "health_color": ("health_color", "health_color"), "canopy_area": (_within("canopy_area", 0.0, 1000.0), "canopy_area"), **{c: (c, c) for c in ("area_px", "pixel_x", "pixel_y", "flight_date")},
+    }
+    wanted = [m for c, m in made.items() if not columns or c in ("x", "y", *columns)]
+    rows = counting_rows(table(spark, d, "pineapple_crops"), *[source for _, source in wanted])
+    return rows.select("plant_id", *[c for c, _ in wanted])
 
 
 PLANTS = f"""(SELECT plant_id, CASE WHEN sector_id >= -1 THEN sector_id END AS sector_id, upper(trim(sector_label)) AS sector_label,
@@ -56,9 +58,9 @@ PLANTS = f"""(SELECT plant_id, CASE WHEN sector_id >= -1 THEN sector_id END AS s
   FROM ({COUNTING_SQL}))"""
 
 
-def positions(spark: SparkSession, d: str) -> DataFrame:
+def positions(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     """Plants with a usable position."""
-    return plants(spark, d).where("x IS NOT NULL")
+    return plants(spark, d, *columns).where("x IS NOT NULL")
 
 
 POSITIONS = f"(SELECT * FROM {PLANTS} WHERE x IS NOT NULL)"

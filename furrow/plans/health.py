@@ -14,7 +14,8 @@ from furrow.functions.nulls import finite
 from furrow.functions.rounding import half_even
 from furrow.operators.aggregates import project, sector_frames
 from furrow.operators.joins import smooth_by_neighbours
-from furrow.operators.models import archetypes, isolation_scores, outliers
+from furrow.operators.models import isolation_scores, with_archetypes
+from furrow.operators.neighbours import near_means
 from furrow.operators.sectors import axis_tolerance, relabelled, row_column_numbers
 from furrow.session import stage
 
@@ -40,19 +41,17 @@ def rank_health(plants: DataFrame, p: RankParams = RankParams(), with_models: bo
     """
     rows = plants.select("plant_id", "sector_label", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), finite("ndvi").alias("ndvi"), finite("ndre").alias("ndre"))
     both = F.col("ndvi").isNotNull() & F.col("ndre").isNotNull()
-    for value in ("ndvi", "ndre"):
-        s = smooth_by_neighbours(rows, "plant_id", "x", "y", value, p.neighbours, p.cell, own=p.own)
-        rows = rows.join(s.select(F.col("id").alias("plant_id"), half_even("smoothed", 9).alias(f"{value}_smooth")), "plant_id", "left")
-    rows = rows.withColumns({"_v": F.when(both, F.col("ndvi_smooth")), "_e": F.when(both, F.col("ndre_smooth"))})
+    rows = near_means(stage(rows, "plants"), "plant_id", "x", "y", ["ndvi", "ndre"], p.neighbours, p.cell)
+    smooth = {v: half_even(F.coalesce(p.own * F.col(v) + (1 - p.own) * F.col(f"{v}_near"), F.col(v)), 9) for v in ("ndvi", "ndre")}
+    rows = rows.select("plant_id", "sector_label", "ndvi", "ndre", *[c.alias(f"{v}_smooth") for v, c in smooth.items()])
+    rows = stage(rows.withColumns({"_v": F.when(both, F.col("ndvi_smooth")), "_e": F.when(both, F.col("ndre_smooth"))}), "smoothed")
+    anomaly, cluster, confidence = F.lit(False), F.lit(-1), F.lit(None).cast("double")
+    named = with_archetypes(rows, "plant_id", ["_v", "_e"], p.contamination, p.least_outliers) if with_models else None
     rows = average_rank_score(rows, "_v", "biomass")
     rows = average_rank_score(rows, "_e", "nitrogen")
-    rows = stage(rows, "ranked")
-    anomaly, cluster, confidence = F.lit(False), F.lit(-1), F.lit(None).cast("double")
-    if with_models:
-        scores = isolation_scores(rows.where(both), "plant_id", ["ndvi_smooth", "ndre_smooth"], least=p.least_outliers)
-        a = archetypes(rows.where(both), "plant_id", ["ndvi_smooth", "ndre_smooth"])
-        rows = rows.join(outliers(scores, p.contamination).select(F.col("id").alias("plant_id"), "outlier"), "plant_id", "left").join(a.withColumnRenamed("id", "plant_id"), "plant_id", "left")
-        anomaly, cluster, confidence = F.coalesce("outlier", F.lit(False)), F.coalesce("archetype", F.lit(-1)), F.col("confidence")
+    if named:
+        rows = named(rows)
+        anomaly, cluster, confidence = F.col("outlier"), F.col("archetype"), F.col("confidence")
     b, n = F.col("biomass"), F.col("nitrogen")
     noise = F.col("sector_label").eqNullSafe(F.lit("NOISE"))
     score = ladders.capped_both_low(p.biomass_weight * b + (1 - p.biomass_weight) * n, b, n, anomaly)

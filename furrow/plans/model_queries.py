@@ -28,6 +28,8 @@ def _nearest_mean(value: str) -> str:
     FROM p a, p b WHERE a.{value} IS NOT NULL AND b.{value} IS NOT NULL AND a.plant_id <> b.plant_id GROUP BY a.plant_id)"""
 
 
+#: What the rank-based plan reads beside id and position.
+_HEALTH = ("sector_label", "ndvi", "ndre")
 _SCORE = "(rank() OVER (ORDER BY {0}) + (count(*) OVER (PARTITION BY {0}) - 1) / 2.0::DOUBLE) / count(*) OVER () * 100"
 _TIER = "CASE WHEN label = 'NOISE' THEN 'NOISE' WHEN score IS NULL THEN 'Out of Boundary' WHEN score >= 70 THEN 'Healthy' WHEN score >= 40 THEN 'Moderate' WHEN score >= 15 THEN 'Stressed' ELSE 'Critical' END"
 
@@ -40,35 +42,37 @@ _TIER = "CASE WHEN label = 'NOISE' THEN 'NOISE' WHEN score IS NULL THEN 'Out of
     CASE WHEN label IS NOT DISTINCT FROM 'NOISE' OR b IS NULL THEN NULL WHEN n < b - 12 THEN 'Nitrogen' WHEN b < n - 12 THEN 'Biomass' ELSE 'Balanced' END AS limiting_factor FROM f""")
 def rank_health_scores(spark: SparkSession, d: str) -> DataFrame:
     """The rank-based health plan without its models: smoothing, ranks, status, diagnosis, limiting factor."""
-    h = rank_health(positions(spark, d), with_models=False, digits=6)
+    h = rank_health(positions(spark, d, *_HEALTH), with_models=False, digits=6)
     return h.select("plant_id", "health_status", F.col("biomass_score").alias("b"), F.col("nitrogen_score").alias("n"), "diagnosis", "limiting_factor")
 
 
 @R.add()
 def rank_health_plants(spark: SparkSession, d: str) -> DataFrame:
     """The whole rank-based plan: with archetypes of a mixture and the cap for outliers."""
-    return rank_health(positions(spark, d))
+    return rank_health(positions(spark, d, *_HEALTH))
 
 
 @R.add(f"""SELECT count(*) AS plants, count(*) FILTER (ndvi IS NOT NULL AND ndre IS NOT NULL) AS valid, count(*) FILTER (sector_label = 'NOISE') AS noise, 0 AS out_of_range, true AS outliers_within_share, 4 AS archetypes, true AS archetypes_in_order, 0 AS wrong_caps FROM {POSITIONS}""")
 def rank_health_checks(spark: SparkSession, d: str) -> DataFrame:
     """What must hold of rank_health_plants: a score for every valid plant within 0..100, a tenth of outliers, four archetypes in the
     order of their vigour, and every outlier that is low in both at most 12 (M5, M6, W5, P12)."""
-    h = stage(rank_health(positions(spark, d)), "health")
+    h = rank_health(positions(spark, d, *_HEALTH))
     valid, plain = F.col("ndvi").isNotNull() & F.col("ndre").isNotNull(), ~F.col("sector_label").eqNullSafe(F.lit("NOISE"))
     scored = F.col("health_score").between(0, 100) == (valid & plain)
     low = (F.col("biomass_score") < 33) & (F.col("nitrogen_score") < 33) & F.col("is_anomaly")
-    one = h.agg(
-        F.count(F.lit(1)).alias("plants"), F.count_if(valid).alias("valid"), F.count_if(~plain).alias("noise"),
-        F.count_if(~F.coalesce(scored, ~(valid & plain))).cast("int").alias("out_of_range"),
-        ((F.count_if("is_anomaly") / F.count_if(valid)).between(0.08, 0.12)).alias("outliers_within_share"),
-        F.count_if(low & (F.col("health_score") > 12)).cast("int").alias("wrong_caps"),
+    level = F.when(valid & plain, F.col("ndvi_smooth") + F.col("ndre_smooth"))
+    # one pass by archetype, then a few rows
+    g = h.groupBy("archetype").agg(
+        F.count(F.lit(1)).alias("plants"), F.count_if(valid).alias("valid"), F.count_if(~plain).alias("noise"), F.count_if("is_anomaly").alias("outliers"),
+        F.count_if(~F.coalesce(scored, ~(valid & plain))).alias("out_of_range"), F.count_if(low & (F.col("health_score") > 12)).alias("wrong_caps"), F.avg(level).alias("m"), F.count_if(valid & plain).alias("members"),
     )
-    a = h.where(valid & plain).groupBy("archetype").agg(F.avg(F.col("ndvi_smooth") + F.col("ndre_smooth")).alias("m"))
-    order = F.array_sort(F.collect_list(F.struct("archetype", "m")))  # four rows
+    order = F.array_sort(F.collect_list(F.when(F.col("members") > 0, F.struct("archetype", "m"))))
     rising = F.forall(F.sequence(F.lit(1), F.size("o") - 1), lambda i: F.col("o")[i]["m"] >= F.col("o")[i - 1]["m"])
-    a = a.agg(order.alias("o")).select(F.size("o").alias("archetypes"), rising.alias("archetypes_in_order"))
-    return one.crossJoin(F.broadcast(a))  # one row each
+    one = g.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("plants", "valid", "noise", "outliers", "out_of_range", "wrong_caps")], order.alias("o"))
+    return one.select(
+        "plants", "valid", "noise", F.col("out_of_range").cast("int").alias("out_of_range"), (F.col("outliers") / F.col("valid")).between(0.08, 0.12).alias("outliers_within_share"),
+        F.size("o").alias("archetypes"), rising.alias("archetypes_in_order"), F.col("wrong_caps").cast("int").alias("wrong_caps"),
+    )
 
 
 @R.add()
